@@ -26,8 +26,15 @@ def day_of(ts: Column | str) -> Column:
 
 
 def daily_first(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """One row per key and day: ``ts`` of the first hit, ``day``, ``prev_day``."""
+    """One row per key and day: ``ts`` of the first hit, ``day``, ``prev_day``.
+
+    On a stream, the rows whose day differs from the key's last one.
+    """
     keys = list(keys)
+    if df.isStreaming:
+        from freshet.streaming.stateful import day_seen
+
+        return day_seen(df.select(*keys, ts), keys, ts)
     days = df.groupBy(*keys, day_of(ts).alias("day")).agg(F.min(ts).alias(ts))
     seen = Window.partitionBy(*keys).orderBy("day")
     return days.withColumn("prev_day", F.lag("day").over(seen))

@@ -31,7 +31,7 @@ def order_users_10s(spark, sf_dir):
 
 def payment_users_10s(spark, sf_dir):
     """Users whose order was paid, from the payment changes themselves."""
-    paid = facts.paid_orders(tables.trade_log(spark, sf_dir))
+    paid = facts.paid_orders(tables.trade_log(spark, sf_dir, tables.payment_updates))
     return summaries.payment_users(paid)
 
 
@@ -115,16 +115,16 @@ def coupon_abuse_1h(spark, sf_dir):
 
 
 def order_detail_wide(spark, sf_dir):
-    return facts.order_detail(tables.trade_log(spark, sf_dir)).drop("et")
+    return facts.order_detail(tables.trade_log(spark, sf_dir, *tables.DETAIL_CHANGES)).drop("et")
 
 
 def order_cancel(spark, sf_dir):
-    log = tables.trade_log(spark, sf_dir)
+    log = tables.trade_log(spark, sf_dir, tables.order_updates, *tables.DETAIL_CHANGES)
     return facts.order_cancel(log, facts.order_detail(log))
 
 
 def payment_interval(spark, sf_dir):
-    log = tables.trade_log(spark, sf_dir)
+    log = tables.trade_log(spark, sf_dir, tables.payment_updates, *tables.DETAIL_CHANGES)
     return facts.payment_success(
         log,
         facts.order_detail(log),
@@ -148,15 +148,15 @@ def payment_interval_minutes(spark, sf_dir):
 
 
 def order_refund(spark, sf_dir):
-    return facts.order_refund(
-        tables.trade_log(spark, sf_dir), tables.nation_dictionary(spark, sf_dir)
-    )
+    log = tables.trade_log(spark, sf_dir, tables.refund_inserts, tables.order_updates)
+    return facts.order_refund(log, tables.nation_dictionary(spark, sf_dir))
 
 
 def refund_payment(spark, sf_dir):
-    return facts.refund_payment_success(
-        tables.trade_log(spark, sf_dir), tables.nation_dictionary(spark, sf_dir)
+    log = tables.trade_log(
+        spark, sf_dir, tables.refund_payment_updates, tables.refund_updates, tables.order_updates
     )
+    return facts.refund_payment_success(log, tables.nation_dictionary(spark, sf_dir))
 
 
 def comment_lookup(spark, sf_dir):

@@ -430,3 +430,39 @@ ORACLE_SQL: dict[str, str] = {
         FROM events
     """,
 }
+
+# The streaming jobs must give what the batch jobs give.
+for _name in (
+    "order_users_10s",
+    "login_returning_10s",
+    "login_sliding_1h_5m",
+    "payment_interval_minutes",
+    "coupon_abuse_1h",
+    "log_fan_out",
+    "dim_upsert",
+):
+    ORACLE_SQL[f"stream_{_name}"] = ORACLE_SQL[_name]
+
+# The streaming path repairs visitors first, and a session's mark lasts an hour,
+# which a recursion over the session's rows follows.
+ORACLE_SQL["stream_page_multi_dim_5s"] = f"""
+    WITH RECURSIVE {FIXED_LOG},
+    p AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY et, seq) AS rn
+          FROM log WHERE is_page),
+    marks AS (
+        SELECT sid, rn, et AS created, true AS sv FROM p WHERE rn = 1
+        UNION ALL
+        SELECT p.sid, p.rn,
+               CASE WHEN p.et - m.created >= INTERVAL 1 HOUR THEN p.et ELSE m.created END,
+               p.et - m.created >= INTERVAL 1 HOUR
+        FROM marks m JOIN p ON p.sid = m.sid AND p.rn = m.rn + 1),
+    flagged AS (
+        SELECT vc, ch, ar, is_new, during_time, {_window('et', 5)} AS w, sv,
+               CAST(et AS DATE) IS DISTINCT FROM
+                   lag(CAST(et AS DATE)) OVER (PARTITION BY mid ORDER BY et, seq) AS uv
+        FROM p JOIN marks USING (sid, rn))
+    SELECT {_labels(5, '%Y%m%d')}, vc, ch, ar, is_new,
+           {_ones('uv')} AS uv_ct, {_ones('sv')} AS sv_ct, count(*) AS pv_ct,
+           CAST(sum(during_time) AS BIGINT) AS dur_sum
+    FROM flagged GROUP BY w, vc, ch, ar, is_new
+"""

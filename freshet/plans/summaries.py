@@ -1,8 +1,8 @@
-"""Windowed metrics on batch frames.
+"""Windowed metrics, on batch frames and on streams with a watermark on ``et``.
 
-The rows a metric counts (first of a day, first of a session) are found by
-aggregation alone, see ``operators.visits``; raw rows are never sorted per
-user.  Streams use ``streaming.summaries``.
+On batch frames the rows a metric counts (first of a day, first of a session)
+are found by aggregation alone, see ``operators.visits``; raw rows are never
+sorted per user.  On streams they are found by keyed state.
 """
 
 from __future__ import annotations
@@ -112,6 +112,8 @@ def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
     aggregation, and added up per window.
     """
     facts = page_facts(pages, order)
+    if facts.isStreaming:
+        return _page_views_of_stream(facts, order)
 
     def part(rows: DataFrame, uv: Column, sv: Column, pv: Column, dur: Column) -> DataFrame:
         zero = F.lit(0).cast("bigint")
@@ -148,6 +150,34 @@ def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
+def _page_views_of_stream(facts: DataFrame, order: list[str]) -> DataFrame:
+    from freshet.streaming.stateful import day_seen, session_starts
+
+    tie = [name for name in order if name != "et"]
+    seen = day_seen(facts, ["mid"], "et", tie, changes_only=False)
+    flagged = session_starts(
+        seen.withColumn("uv", (~F.col("day").eqNullSafe(F.col("prev_day"))).cast("int")).drop(
+            "day", "prev_day"
+        ),
+        "sid",
+        "et",
+        tie,
+    )
+    return tumbling(
+        flagged,
+        "et",
+        "5 seconds",
+        [
+            total("uv", "uv_ct"),
+            total("starts", "sv_ct"),
+            F.count(F.lit(1)).alias("pv_ct"),
+            total("during_time", "dur_sum"),
+        ],
+        by=PAGE_DIMENSIONS,
+        date_pattern=COMPACT_DATE,
+    )
+
+
 def registrations(users: DataFrame, ts: str = "et") -> DataFrame:
     """New registrations per 5 s."""
     return tumbling(users, ts, "5 seconds", [F.count(F.lit(1)).alias("register_ct")])

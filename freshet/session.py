@@ -12,6 +12,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every column slows the building of plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 ROCKSDB_PROVIDER = (

@@ -97,156 +97,212 @@ def line_id() -> Column:
     )
 
 
-def trade_changes(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Changes of the order, payment and refund tables."""
-    line_ts = seconds_of("l_shipdate") + F.col("l_linenumber") * 60
-    ship_text = F.date_format("l_shipdate", DATETIME)
-    quantity = F.col("l_quantity").cast("int")
-    returned = lineitem.where(F.col("l_returnflag") == "R")
-    per_sku = returned.groupBy("l_orderkey", "l_partkey").agg(
-        F.sum(quantity).alias("num"),
-        F.sum(F.col("l_extendedprice").cast("decimal(16,2)"))
-        .cast("decimal(16,2)")
-        .alias("amount"),
-        F.min("l_shipdate").alias("back"),
+def order_inserts(orders: DataFrame) -> DataFrame:
+    return change_rows(
+        orders,
+        "order_info",
+        "insert",
+        {**_order_data(), "order_status": F.lit("1001")},
+        seconds_of("o_orderdate"),
     )
-    back_ts = F.unix_seconds(F.col("back").cast("timestamp"))
-    order_ts = seconds_of("o_orderdate")
-    pay_ts = order_ts + F.pmod(F.col("o_orderkey"), F.lit(3600))
+
+
+def order_updates(orders: DataFrame) -> DataFrame:
+    """Each order moves on once: cancelled, refund asked for, or refunded."""
     status = F.col("o_orderstatus")
-    moved_from = F.when(status == "F", "1001").when(status == "P", "1002").otherwise("1005")
-    moved_to = F.when(status == "F", "1003").when(status == "P", "1005").otherwise("1006")
-    order_data = {
+    before = F.when(status == "F", "1001").when(status == "P", "1002").otherwise("1005")
+    after = F.when(status == "F", "1003").when(status == "P", "1005").otherwise("1006")
+    return change_rows(
+        orders,
+        "order_info",
+        "update",
+        {**_order_data(), "order_status": after},
+        seconds_of("o_orderdate") + 600,
+        {"order_status": before},
+    )
+
+
+def _order_data() -> dict[str, Column | str]:
+    return {
         "id": "o_orderkey",
         "user_id": "o_custkey",
         "province_id": F.pmod(F.col("o_custkey"), F.lit(34)),
         "operate_time": F.date_format("o_orderdate", DATETIME),
     }
-    branches = [
-        change_rows(
-            lineitem,
-            "order_detail",
-            "insert",
-            {
-                "id": line_id(),
-                "order_id": "l_orderkey",
-                "sku_id": "l_partkey",
-                "sku_name": F.concat(F.lit("sku#"), F.col("l_partkey")),
-                "sku_num": quantity,
-                "order_price": money_text("l_extendedprice"),
-                "create_time": ship_text,
-                "source_id": "l_suppkey",
-                "source_type": "l_linestatus",
-                "split_total_amount": money_text("l_extendedprice"),
-                "split_activity_amount": money_text("l_discount"),
-                "split_coupon_amount": money_text("l_tax"),
-            },
-            line_ts,
-        ),
-        change_rows(
-            orders, "order_info", "insert", {**order_data, "order_status": F.lit("1001")}, order_ts
-        ),
-        change_rows(
-            orders,
-            "order_info",
-            "update",
-            {**order_data, "order_status": moved_to},
-            order_ts + 600,
-            {"order_status": moved_from},
-        ),
-        change_rows(
-            lineitem.where(F.col("l_discount") >= 0.05),
-            "order_detail_activity",
-            "insert",
-            {
-                "order_detail_id": line_id(),
-                "activity_id": F.pmod(F.col("l_suppkey"), F.lit(10)),
-                "activity_rule_id": "l_suppkey",
-            },
-            line_ts,
-        ),
-        change_rows(
-            lineitem.where(F.col("l_tax") >= 0.04),
-            "order_detail_coupon",
-            "insert",
-            {"order_detail_id": line_id(), "coupon_id": F.pmod(F.col("l_partkey"), F.lit(100))},
-            line_ts,
-        ),
-        change_rows(
-            orders,
-            "payment_info",
-            "update",
-            {
-                "user_id": "o_custkey",
-                "order_id": "o_orderkey",
-                "payment_type": F.pmod(F.col("o_orderkey"), F.lit(30)),
-                "callback_time": F.date_format(F.timestamp_seconds(pay_ts), DATETIME),
-                "payment_status": F.when(
-                    F.col("o_orderpriority") == "5-LOW", "1601"
-                ).otherwise("1602"),
-            },
-            pay_ts,
-            {"payment_status": F.lit("1601")},
-        ),
-        change_rows(
-            returned,
-            "order_refund_info",
-            "insert",
-            {
-                "id": line_id(),
-                "user_id": "l_suppkey",
-                "order_id": "l_orderkey",
-                "sku_id": "l_partkey",
-                "refund_type": "l_linenumber",
-                "refund_num": quantity,
-                "refund_amount": money_text("l_extendedprice"),
-                "refund_reason_type": F.pmod(F.col("l_partkey"), F.lit(30)),
-                "refund_reason_txt": F.concat(F.lit("status "), F.col("l_linestatus")),
-                "create_time": ship_text,
-            },
-            line_ts,
-        ),
-        change_rows(
-            per_sku,
-            "order_refund_info",
-            "update",
-            {
-                "order_id": "l_orderkey",
-                "sku_id": "l_partkey",
-                "refund_num": "num",
-                "refund_status": F.lit("0705"),
-            },
-            back_ts,
-            {"refund_status": F.lit("0701")},
-        ),
-        change_rows(
-            per_sku,
-            "refund_payment",
-            "update",
-            {
-                "id": F.concat_ws("-", "l_orderkey", "l_partkey"),
-                "order_id": "l_orderkey",
-                "sku_id": "l_partkey",
-                "payment_type": F.pmod(F.col("l_orderkey"), F.lit(30)),
-                "callback_time": F.date_format("back", DATETIME),
-                "total_amount": "amount",
-                "refund_status": F.when(
-                    F.pmod(F.col("l_orderkey"), F.lit(10)) == 0, "1601"
-                ).otherwise("1602"),
-            },
-            back_ts,
-            {"refund_status": F.lit("0701")},
-        ),
-    ]
-    return reduce(DataFrame.unionByName, branches)
 
 
-def trade_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trade_changes(
-        read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
+def payment_updates(orders: DataFrame) -> DataFrame:
+    paid_at = seconds_of("o_orderdate") + F.pmod(F.col("o_orderkey"), F.lit(3600))
+    return change_rows(
+        orders,
+        "payment_info",
+        "update",
+        {
+            "user_id": "o_custkey",
+            "order_id": "o_orderkey",
+            "payment_type": F.pmod(F.col("o_orderkey"), F.lit(30)),
+            "callback_time": F.date_format(F.timestamp_seconds(paid_at), DATETIME),
+            "payment_status": F.when(F.col("o_orderpriority") == "5-LOW", "1601").otherwise(
+                "1602"
+            ),
+        },
+        paid_at,
+        {"payment_status": F.lit("1601")},
     )
 
 
+def _line_ts() -> Column:
+    return seconds_of("l_shipdate") + F.col("l_linenumber") * 60
+
+
+def line_inserts(lineitem: DataFrame) -> DataFrame:
+    return change_rows(
+        lineitem,
+        "order_detail",
+        "insert",
+        {
+            "id": line_id(),
+            "order_id": "l_orderkey",
+            "sku_id": "l_partkey",
+            "sku_name": F.concat(F.lit("sku#"), F.col("l_partkey")),
+            "sku_num": F.col("l_quantity").cast("int"),
+            "order_price": money_text("l_extendedprice"),
+            "create_time": F.date_format("l_shipdate", DATETIME),
+            "source_id": "l_suppkey",
+            "source_type": "l_linestatus",
+            "split_total_amount": money_text("l_extendedprice"),
+            "split_activity_amount": money_text("l_discount"),
+            "split_coupon_amount": money_text("l_tax"),
+        },
+        _line_ts(),
+    )
+
+
+def activity_inserts(lineitem: DataFrame) -> DataFrame:
+    return change_rows(
+        lineitem.where(F.col("l_discount") >= 0.05),
+        "order_detail_activity",
+        "insert",
+        {
+            "order_detail_id": line_id(),
+            "activity_id": F.pmod(F.col("l_suppkey"), F.lit(10)),
+            "activity_rule_id": "l_suppkey",
+        },
+        _line_ts(),
+    )
+
+
+def coupon_inserts(lineitem: DataFrame) -> DataFrame:
+    return change_rows(
+        lineitem.where(F.col("l_tax") >= 0.04),
+        "order_detail_coupon",
+        "insert",
+        {"order_detail_id": line_id(), "coupon_id": F.pmod(F.col("l_partkey"), F.lit(100))},
+        _line_ts(),
+    )
+
+
+def refund_inserts(lineitem: DataFrame) -> DataFrame:
+    return change_rows(
+        lineitem.where(F.col("l_returnflag") == "R"),
+        "order_refund_info",
+        "insert",
+        {
+            "id": line_id(),
+            "user_id": "l_suppkey",
+            "order_id": "l_orderkey",
+            "sku_id": "l_partkey",
+            "refund_type": "l_linenumber",
+            "refund_num": F.col("l_quantity").cast("int"),
+            "refund_amount": money_text("l_extendedprice"),
+            "refund_reason_type": F.pmod(F.col("l_partkey"), F.lit(30)),
+            "refund_reason_txt": F.concat(F.lit("status "), F.col("l_linestatus")),
+            "create_time": F.date_format("l_shipdate", DATETIME),
+        },
+        _line_ts(),
+    )
+
+
+def _returned_per_sku(lineitem: DataFrame) -> DataFrame:
+    """What came back, one row per order and article."""
+    return (
+        lineitem.where(F.col("l_returnflag") == "R")
+        .groupBy("l_orderkey", "l_partkey")
+        .agg(
+            F.sum(F.col("l_quantity").cast("int")).alias("num"),
+            F.sum(F.col("l_extendedprice").cast("decimal(16,2)"))
+            .cast("decimal(16,2)")
+            .alias("amount"),
+            F.min("l_shipdate").alias("back"),
+        )
+    )
+
+
+def refund_updates(lineitem: DataFrame) -> DataFrame:
+    return change_rows(
+        _returned_per_sku(lineitem),
+        "order_refund_info",
+        "update",
+        {
+            "order_id": "l_orderkey",
+            "sku_id": "l_partkey",
+            "refund_num": "num",
+            "refund_status": F.lit("0705"),
+        },
+        seconds_of("back"),
+        {"refund_status": F.lit("0701")},
+    )
+
+
+def refund_payment_updates(lineitem: DataFrame) -> DataFrame:
+    return change_rows(
+        _returned_per_sku(lineitem),
+        "refund_payment",
+        "update",
+        {
+            "id": F.concat_ws("-", "l_orderkey", "l_partkey"),
+            "order_id": "l_orderkey",
+            "sku_id": "l_partkey",
+            "payment_type": F.pmod(F.col("l_orderkey"), F.lit(30)),
+            "callback_time": F.date_format("back", DATETIME),
+            "total_amount": "amount",
+            "refund_status": F.when(
+                F.pmod(F.col("l_orderkey"), F.lit(10)) == 0, "1601"
+            ).otherwise("1602"),
+        },
+        seconds_of("back"),
+        {"refund_status": F.lit("0701")},
+    )
+
+
+# Which of the two tables each kind of change is made from.
+TRADE_CHANGES = {
+    order_inserts: "orders",
+    order_updates: "orders",
+    payment_updates: "orders",
+    line_inserts: "lineitem",
+    activity_inserts: "lineitem",
+    coupon_inserts: "lineitem",
+    refund_inserts: "lineitem",
+    refund_updates: "lineitem",
+    refund_payment_updates: "lineitem",
+}
+DETAIL_CHANGES = (order_inserts, line_inserts, activity_inserts, coupon_inserts)
+
+
+def trade_log(spark: SparkSession, sf_dir: str, *kinds) -> DataFrame:
+    """One change log of the order, payment and refund tables.
+
+    ``kinds`` names the changes a job subscribes to; by default all.
+    """
+    kinds = kinds or tuple(TRADE_CHANGES)
+    read = {
+        name: read_table(spark, sf_dir, name)
+        for name in {TRADE_CHANGES[kind] for kind in kinds}
+    }
+    return reduce(DataFrame.unionByName, [kind(read[TRADE_CHANGES[kind]]) for kind in kinds])
+
+
 def event_number() -> Column:
     """The number inside an event's JSON properties."""
     return F.get_json_object("props", "$.k").cast("bigint")
@@ -411,7 +467,8 @@ def nation_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def behavior_rows(events: DataFrame) -> DataFrame:
     """Events as behaviour-log records; ``seq`` is the arrival number."""
-    kind, number = F.col("event_type"), event_number()
+    events = events.withColumn("_k", event_number())
+    kind, number = F.col("event_type"), F.col("_k")
     no_map = F.lit(None).cast("map<string,string>")
     no_list = F.lit(None).cast("array<map<string,string>>")
     odd = F.pmod(number, F.lit(2))
