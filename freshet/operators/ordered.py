@@ -34,7 +34,7 @@ def neighbour_value(
         "*",
         chunk.alias("_chunk"),
         F.struct(value.alias("v")).alias("_value"),
-        F.lit(1).alias("_kind"),
+        F.lit(1).alias("_is_row"),
     )
 
     edge = F.min_by if ahead else F.max_by
@@ -48,15 +48,15 @@ def neighbour_value(
     markers = (
         edges.withColumn("_value", F.lag("_edge").over(across))
         .where(F.col("_value").isNotNull())
-        .select(*keys, "_chunk", "_value", F.lit(0).alias("_kind"))
+        .select(*keys, "_chunk", "_value", F.lit(0).alias("_is_row"))
     )
 
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_kind", *rank)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_is_row", *rank)
     return (
         rows.unionByName(markers, allowMissingColumns=True)
         .withColumn(name, F.lag("_value").over(inside)["v"])
-        .where(F.col("_kind") == 1)
-        .drop("_chunk", "_value", "_kind")
+        .where(F.col("_is_row") == 1)
+        .drop("_chunk", "_value", "_is_row")
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from freshet.operators.ordered import neighbour_value, time_chunk
+
 MESSAGE = "Suspicious behavior detected"
 
 
@@ -17,48 +19,40 @@ def followed_by(
     first: str,
     second: str,
     within_seconds: int,
+    chunk_seconds: int = 60,
 ) -> DataFrame:
     """Alerts where a user's ``first`` event is directly followed by ``second``.
 
     Directly: no other event of the user lies between.  The gap must be less
-    than ``within_seconds``, so a successor is always in the same time chunk or
-    at the very start of the next one; those few rows are copied back one
-    chunk, and a user's events are sorted chunk by chunk.
+    than ``within_seconds``.  A user's events are looked at minute by minute.
     """
-    within = within_seconds * 1_000_000
-    width = within * 24
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    chunk = F.floor(micros / F.lit(width))
-    near_start = F.pmod(micros, F.lit(width)) < within
-    placed = events.select(
+    staged = events.select(
         F.col(user).alias("user_id"),
-        F.col(ts).alias("_ts"),
-        micros.alias("_micros"),
-        F.col(kind).alias("_kind"),
+        F.col(ts).alias("first_ts"),
         F.col(tie).alias("_tie"),
-        chunk.alias("_home"),
-        F.explode(
-            F.when(near_start, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
-        ).alias("_chunk"),
+        F.col(kind).alias("_kind"),
     )
-    order = Window.partitionBy("user_id", "_chunk").orderBy("_micros", "_tie")
-    return (
-        placed.select(
-            "*",
-            F.lead("_kind").over(order).alias("_next_kind"),
-            F.lead("_ts").over(order).alias("_next_ts"),
-            F.lead("_micros").over(order).alias("_next_micros"),
-        )
-        .where(
-            (F.col("_home") == F.col("_chunk"))
-            & (F.col("_kind") == first)
-            & (F.col("_next_kind") == second)
-            & (F.col("_next_micros") - F.col("_micros") < within)
-        )
-        .select(
-            "user_id",
-            F.col("_ts").alias("first_ts"),
-            F.col("_next_ts").alias("second_ts"),
-            F.lit(MESSAGE).alias("message"),
-        )
+    paired = neighbour_value(
+        staged,
+        ["user_id"],
+        ["first_ts", "_tie"],
+        F.struct(F.col("first_ts").alias("ts"), F.col("_kind").alias("kind")),
+        time_chunk("first_ts", chunk_seconds),
+        "_next",
+        ahead=True,
+    )
+
+    def micros(column):
+        return F.unix_micros(column.cast("timestamp"))
+
+    gap = micros(F.col("_next.ts")) - micros(F.col("first_ts"))
+    return paired.where(
+        (F.col("_kind") == first)
+        & (F.col("_next.kind") == second)
+        & (gap < within_seconds * 1_000_000)
+    ).select(
+        "user_id",
+        "first_ts",
+        F.col("_next.ts").alias("second_ts"),
+        F.lit(MESSAGE).alias("message"),
     )

@@ -1,40 +1,43 @@
 """Joins whose heavy side may hold one key in a large share of its rows.
 
-A frequent-items sketch over the heavy side names the hot keys; it is one
-mergeable aggregate, needs no shuffle by key and returns at most ``HOT_LIMIT``
-keys whatever the data size.  Rows of hot keys are spread over ``salts``
-sub-keys and only those keys' partner rows are copied.  The sketch decides
-where rows go, never which rows match, so its error cannot change a result.
+The heavy side's rows are counted per key first, partially on every task, from
+the key columns alone.  A key with too many rows for one task is hot: its rows
+are spread over sub-keys, one per ``rows_per_task`` rows, and only its partner
+rows are copied.  Counts are exact and repeat exactly, so both sides always
+agree on which keys are hot, also when tasks are run again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_LIMIT = 200
-SKETCH_ITEMS = 10_000
+ROWS_PER_TASK = 1_000_000
 
+# A hot key holds at least this share of all rows, so there are at most as many
+# hot keys: the list of them may be broadcast whatever the data's size.
+HOT_KEYS_AT_MOST = 10_000
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(key) for key in keys])
+# Rows with a null key match nothing; they are spread this wide.
+NULL_SPREAD = 4096
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.005) -> Column:
-    """Scalar subquery: hashes of keys holding at least ``share`` of the rows."""
-    per_mille = max(1, round(share * 1000))
-    counted = df.select(key_hash(keys).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {HOT_LIMIT}, {SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    return counted.select(
-        F.expr(
-            f"transform(filter(top, x -> x.count * 1000 >= n * {per_mille}), x -> x.item)"
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    """Hot keys and over how many sub-keys to spread each (``_parts``)."""
+    rows = df.select(*keys)
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    return (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(
+            (F.col("_n") > rows_per_task) & (F.col("_n") * HOT_KEYS_AT_MOST >= total)
         )
-    ).scalar()
+        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts"))
+    )
 
 
 def _hashable(kind: T.DataType) -> bool:
@@ -45,10 +48,10 @@ def _hashable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def _spread(df: DataFrame, salts: int) -> Column:
-    """A salt from the row's own content: the same again if a task is rerun."""
+def _spread(df: DataFrame, parts: Column) -> Column:
+    """A sub-key from the row's own content: the same again if a task is rerun."""
     plain = [F.col(f.name) for f in df.schema.fields if _hashable(f.dataType)]
-    return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*plain), parts).cast("int")
 
 
 def skew_join(
@@ -58,24 +61,31 @@ def skew_join(
     how: str = "inner",
     *,
     sample_of: DataFrame | None = None,
-    share: float = 0.005,
-    salts: int = 64,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join on ``keys``, equal to ``heavy.join(light, keys, how)``.
 
     ``how`` is ``inner`` or ``left``.  ``sample_of`` is a cheaper frame with
-    the heavy side's key columns to look for hot keys in, such as the bare
-    scan below a long plan.
+    the same key columns to count in, such as the bare scan below a long plan;
+    it should hold about as many rows per key as ``heavy``.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"cannot salt the light side of a {how} join")
+        raise ValueError(f"cannot copy the light side of a {how} join")
     keys = list(keys)
-    hot = hot_hashes(heavy if sample_of is None else sample_of, keys, share)
-    is_hot = F.array_contains(hot, key_hash(keys))
-    spread = F.coalesce(F.when(is_hot, _spread(heavy, salts)), F.lit(0))
-    salted = heavy.withColumn("_salt", spread)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+    hot = F.broadcast(hot_keys(heavy if sample_of is None else sample_of, keys, rows_per_task))
+    no_key = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
+    part = F.when(F.col("_parts").isNotNull(), _spread(heavy, F.col("_parts")))
+    if how == "left":
+        part = F.when(no_key, _spread(heavy, F.lit(NULL_SPREAD))).otherwise(part)
+    spread = (
+        heavy.join(hot, keys, "left")
+        .withColumn("_part", F.coalesce(part, F.lit(0)))
+        .drop("_parts")
+    )
+    last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+    copied = (
+        light.join(hot, keys, "left")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+        .drop("_parts")
     )
-    copied = light.withColumn("_salt", F.explode(copies))
-    return salted.join(copied, [*keys, "_salt"], how).drop("_salt")
+    return spread.join(copied, [*keys, "_part"], how).drop("_part")

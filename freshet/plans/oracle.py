@@ -415,7 +415,7 @@ ORACLE_SQL: dict[str, str] = {
         WITH o AS (
             SELECT user_id, CAST(ts AS DATE) AS d,
                    lag(CAST(ts AS DATE)) OVER (
-                       PARTITION BY user_id ORDER BY round(value * 100), event_id) AS pd
+                       PARTITION BY user_id ORDER BY event_id // 1000, -event_id) AS pd
             FROM events)
         SELECT user_id, count(*) FILTER (WHERE pd IS NULL OR pd <> d) AS unique_days,
                count(*) FILTER (WHERE pd IS NULL) AS first_seen
