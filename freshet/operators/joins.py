@@ -57,6 +57,7 @@ def interval_join(
     upper_seconds: int,
     left_time: str = "et",
     right_time: str = "right_et",
+    sample_of: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs of equal keys with ``right_time`` in
     ``[left_time - lower, left_time + upper]``.
@@ -64,7 +65,8 @@ def interval_join(
     On batch frames time is cut into buckets as long as the interval.  A right
     row is in one bucket and a left row looks into at most two, so no pair is
     found twice, and one busy key is spread over its buckets instead of being
-    paired with itself over all time.
+    paired with itself over all time.  ``sample_of`` is a cheaper frame with
+    the right side's keys and time.
     """
     keys = list(keys)
     lower = F.expr(f"interval {lower_seconds} seconds")
@@ -91,8 +93,19 @@ def interval_join(
             F.sequence(bucket(F.col(left_time) - lower), bucket(F.col(left_time) + upper))
         ),
     )
-    placed = right.withColumn("_bucket", bucket(F.col(right_time)))
-    return skew_join(placed, looks, [*keys, "_bucket"]).where(near).drop("_bucket")
+    def place(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", bucket(F.col(right_time)))
+
+    return (
+        skew_join(
+            place(right),
+            looks,
+            [*keys, "_bucket"],
+            sample_of=None if sample_of is None else place(sample_of),
+        )
+        .where(near)
+        .drop("_bucket")
+    )
 
 
 def lookup(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:

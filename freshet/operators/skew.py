@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 1_000_000
 
-# A hot key holds at least this share of all rows, so there are at most as many
-# hot keys: the list of them may be broadcast whatever the data's size.
+# The list of hot keys is broadcast, so it holds no more than this many: the
+# hottest.  Other keys are joined all the same, each in one task.
 HOT_KEYS_AT_MOST = 10_000
 
 # Rows with a null key match nothing; they are spread this wide.
@@ -28,14 +28,12 @@ NULL_SPREAD = 4096
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
     """Hot keys and over how many sub-keys to spread each (``_parts``)."""
-    rows = df.select(*keys)
-    total = rows.agg(F.count(F.lit(1))).scalar()
     return (
-        rows.groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(
-            (F.col("_n") > rows_per_task) & (F.col("_n") * HOT_KEYS_AT_MOST >= total)
-        )
+        .where(F.col("_n") > rows_per_task)
+        .orderBy(F.col("_n").desc(), *keys)
+        .limit(HOT_KEYS_AT_MOST)
         .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts"))
     )
 

@@ -120,7 +120,7 @@ def order_detail_wide(spark, sf_dir):
 
 def order_cancel(spark, sf_dir):
     log = tables.trade_log(spark, sf_dir, tables.order_updates, *tables.DETAIL_CHANGES)
-    return facts.order_cancel(log, facts.order_detail(log))
+    return facts.order_cancel(log, facts.order_detail(log), lines=facts.order_lines(log))
 
 
 def payment_interval(spark, sf_dir):
@@ -130,6 +130,7 @@ def payment_interval(spark, sf_dir):
         facts.order_detail(log),
         tables.nation_dictionary(spark, sf_dir),
         lower_seconds=30 * DAY_SECONDS,
+        lines=facts.order_lines(log),
     )
 
 

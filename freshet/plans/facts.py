@@ -91,10 +91,21 @@ def order_detail(changes: DataFrame, database: str = DATABASE) -> DataFrame:
     )
 
 
+def order_lines(changes: DataFrame, database: str = DATABASE) -> DataFrame:
+    """The bare order lines, to look for busy orders in before details are built."""
+    return filters.inserts(changes, database, "order_detail", _same("order_id"))
+
+
 def order_cancel(
-    changes: DataFrame, details: DataFrame, database: str = DATABASE
+    changes: DataFrame,
+    details: DataFrame,
+    database: str = DATABASE,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines of orders that went from created to cancelled."""
+    """Order lines of orders that went from created to cancelled.
+
+    ``lines`` saves building ``details`` twice where they are not a stored table.
+    """
     cancels = filters.transitions(
         changes,
         database,
@@ -106,7 +117,7 @@ def order_cancel(
     ).withColumn("cancel_ts", F.col("ts"))
     joined = fact_join(
         details.drop("ts"), cancels, ["order_id"], bound_seconds=CANCEL_SECONDS,
-        sample_of=details.select("order_id"),
+        sample_of=details if lines is None else lines,
     )
     return joined.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id",
@@ -139,11 +150,19 @@ def payment_success(
     database: str = DATABASE,
     lower_seconds: int = PAY_BEFORE_SECONDS,
     upper_seconds: int = PAY_AFTER_SECONDS,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """Order lines placed shortly before their order's payment went through."""
+    """Order lines placed shortly before their order's payment went through.
+
+    ``lines`` saves building ``details`` twice where they are not a stored table.
+    """
     payments = paid_orders(changes, database).drop("user_id")
     placed = details.drop("ts").withColumnRenamed("et", "right_et")
-    joined = interval_join(payments, placed, ["order_id"], lower_seconds, upper_seconds)
+    if lines is not None:
+        lines = lines.withColumnRenamed("et", "right_et")
+    joined = interval_join(
+        payments, placed, ["order_id"], lower_seconds, upper_seconds, sample_of=lines
+    )
     named = lookup(joined, dictionary, "payment_type_code", "payment_type_name")
     return named.select(
         F.col("id").alias("order_detail_id"),

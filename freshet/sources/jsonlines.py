@@ -1,4 +1,9 @@
-"""JSON text to typed rows, with the unreadable lines kept apart."""
+"""JSON text to typed rows, with the unreadable lines kept apart.
+
+A line is read as the only element of a JSON array.  That makes the reader
+look at the whole line: text after the object, or a second object, is an error
+and not silently dropped.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +11,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BAD = "_unreadable"
+
+def _only_element(text: Column, kind: T.DataType) -> Column:
+    """The line's object, or null if the line is not exactly one object."""
+    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(kind))
+    return F.when(F.size(elements) == 1, elements[0])
 
 
 def is_json_object(text: Column | str) -> Column:
     """Whether the text is one well-formed JSON object."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(
-        F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False)
-    )
+    return _only_element(text, T.MapType(T.StringType(), T.StringType())).isNotNull()
 
 
 def well_formed(lines: DataFrame) -> DataFrame:
@@ -29,29 +36,21 @@ def malformed(lines: DataFrame) -> DataFrame:
 def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Readable lines as ``schema``; columns beside ``value`` are carried.
 
-    A number written as text is accepted.  Text is looked at a second time
-    only where the typed parse failed.
+    A field of another type than expected is null; a number written as text is
+    accepted.
     """
+
+    def is_number(field: T.StructField) -> bool:
+        return isinstance(field.dataType, T.LongType)
+
     relaxed = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.LongType) else f.dataType)
-            for f in schema.fields
-        ]
-        + [T.StructField(_BAD, T.StringType())]
+        [T.StructField(f.name, T.StringType() if is_number(f) else f.dataType) for f in schema]
     )
     carried = [name for name in lines.columns if name != "value"]
-    parsed = lines.select(
-        *carried,
-        "value",
-        F.from_json("value", relaxed, {"columnNameOfCorruptRecord": _BAD}).alias("_j"),
-    )
-    readable = F.col("_j").isNotNull() & (
-        F.col(f"_j.{_BAD}").isNull() | is_json_object("value")
-    )
+    rows = lines.select(*carried, _only_element(F.col("value"), relaxed).alias("_row"))
     columns = [
-        F.col(f"_j.{f.name}").try_cast(f.dataType).alias(f.name)
-        if isinstance(f.dataType, T.LongType)
-        else F.col(f"_j.{f.name}").alias(f.name)
-        for f in schema.fields
+        (F.col("_row")[f.name].try_cast(f.dataType) if is_number(f) else F.col("_row")[f.name])
+        .alias(f.name)
+        for f in schema
     ]
-    return parsed.where(readable).select(*carried, *columns)
+    return rows.where(F.col("_row").isNotNull()).select(*carried, *columns)
