@@ -147,16 +147,19 @@ def stream_log_fan_out(spark, sf_dir):
 
 
 def stream_dim_upsert(spark, sf_dir):
-    rules = tables.dimension_rules(spark)
+    """Each batch is routed with the rules of its moment, then folded on reading."""
+
+    def route(changes):
+        rules = tables.dimension_rules(changes.sparkSession)
+        return routing.route_dimensions(changes, rules, tables.DATABASE)
+
     out = replay(
         spark,
         "dim_upsert",
         _events_path(sf_dir),
         [],
-        lambda events: routing.route_dimensions(
-            tables.profile_changes(events), rules, tables.DATABASE
-        ),
-        writer=lambda path: sinks.to_dimension_cells(path, ["ts", "seq"]),
+        tables.profile_changes,
+        writer=lambda path: sinks.after(route, sinks.to_dimension_cells(path, ["ts", "seq"])),
     )
     live = sinks.read_dimension_cells(spark, out)
     return dimension.dimension_table(live, "dim_user_profile", ["id", "last_k", "last_type"])

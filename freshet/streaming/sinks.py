@@ -63,6 +63,19 @@ def latest_by_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     )
 
 
+def after(step: Callable[[DataFrame], DataFrame], writer: BatchWriter) -> BatchWriter:
+    """Applies ``step`` to each micro-batch before it is written.
+
+    What ``step`` reads, such as the rules or the dictionary, is read anew for
+    every batch, so a change takes effect with the next one.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer(step(batch), batch_id)
+
+    return write
+
+
 def _folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
@@ -123,6 +136,12 @@ def read_dimension_cells(
     return live_cells(stored, resets)
 
 
+def compact_dimension_cells(spark: SparkSession, path: str, into: str) -> None:
+    """The store folded to one entry per cell, in a new folder to go on from."""
+    stored = spark.read.parquet(path).select("sink_table", "row_key", "col", "value", "at")
+    latest_cells(stored).write.partitionBy("sink_table").parquet(_folder(into, 0))
+
+
 def start(
     df: DataFrame,
     state: str,
