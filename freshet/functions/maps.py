@@ -26,10 +26,13 @@ def overlay(base: Column, top: Column) -> Column:
 
 
 def keep_listed(source: Column, listed: Column) -> Column:
-    """Entries whose key is in a comma list; the list's parts are not trimmed."""
-    return F.map_filter(
-        source, lambda key, _: F.array_contains(F.split(listed, ","), key)
-    )
+    """Entries whose key is in the array ``listed``."""
+    return F.map_filter(source, lambda key, _: F.array_contains(listed, key))
+
+
+def comma_list(text: Column) -> Column:
+    """The parts of a comma list, not trimmed."""
+    return F.split(text, ",")
 
 
 def without_nulls(source: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.maps import keep_listed
+from freshet.functions.maps import comma_list, keep_listed
 from freshet.operators.filters import dim_changes, fact_changes
 
 
@@ -33,6 +33,11 @@ def current_rules(
     )
 
 
+def _ready(rules: DataFrame) -> DataFrame:
+    """The rules with their column list split once, not once per change row."""
+    return rules.withColumn("_listed", comma_list(F.col("sink_columns"))).drop("sink_columns")
+
+
 def route_dimensions(changes: DataFrame, rules: DataFrame, database: str) -> DataFrame:
     """Change rows with the rule of their table; rows without a rule vanish.
 
@@ -41,14 +46,14 @@ def route_dimensions(changes: DataFrame, rules: DataFrame, database: str) -> Dat
     """
     kept = dim_changes(changes, database)
     carried = [c for c in changes.columns if c not in ("database", "table", "type", "old")]
-    ruled = kept.join(rules.withColumnRenamed("source_table", "table"), "table")
+    ruled = kept.join(_ready(rules).withColumnRenamed("source_table", "table"), "table")
     return ruled.select(
         "sink_table",
         "sink_family",
         F.expr("data[sink_row_key]").alias("row_key"),
         F.col("type").alias("op_type"),
         *[
-            keep_listed(F.col("data"), F.col("sink_columns")).alias("data")
+            keep_listed(F.col("data"), F.col("_listed")).alias("data")
             if c == "data"
             else F.col(c)
             for c in carried
@@ -61,11 +66,11 @@ def route_facts(changes: DataFrame, rules: DataFrame, database: str) -> DataFram
     kept = fact_changes(changes, database)
     carried = [c for c in changes.columns if c not in ("database", "table", "type", "old", "data")]
     ruled = kept.join(
-        rules.withColumnsRenamed({"source_table": "table", "source_type": "type"}),
+        _ready(rules).withColumnsRenamed({"source_table": "table", "source_type": "type"}),
         ["table", "type"],
     )
     return ruled.select(
         "sink_table",
-        keep_listed(F.col("data"), F.col("sink_columns")).alias("data"),
+        keep_listed(F.col("data"), F.col("_listed")).alias("data"),
         *carried,
     )

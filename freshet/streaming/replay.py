@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,23 @@ CLOSING_TIME = "2200-01-01 00:00:00"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    """State is cut into at most one partition per core, as each costs a store
+    and a Python worker per batch; the session's settings come back after."""
+    usual = {key: spark.conf.get(key) for key in (NO_DATA_BATCHES, PARTITIONS)}
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set(PARTITIONS, str(min(int(usual[PARTITIONS]), max(cores, 1))))
+    try:
+        yield
+    finally:
+        for key, value in usual.items():
+            spark.conf.set(key, value)
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
@@ -55,13 +73,10 @@ def replay(
         rows = job(source(path).unionByName(source(late)))
         sinks.start(rows, f"{folder}/state", writer(out)).awaitTermination()
 
-    usual = spark.conf.get(NO_DATA_BATCHES)
-    try:
+    with _settings(spark):
         run(not closing)
         if closing:
             rows = [{field.name: row.get(field.name) for field in schema} for row in closing]
             spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(late)
             run(True)
-    finally:
-        spark.conf.set(NO_DATA_BATCHES, usual)
     return out

@@ -55,7 +55,7 @@ def test_maps(spark):
     got = df.select(
         maps.overlay(F.col("m"), F.col("n")).alias("over"),
         maps.overlay(F.col("m"), F.lit(None).cast("map<string,string>")).alias("same"),
-        maps.keep_listed(F.col("n"), F.lit("a, c")).alias("listed"),
+        maps.keep_listed(F.col("n"), maps.comma_list(F.lit("a, c"))).alias("listed"),
         maps.without_nulls(F.col("m")).alias("full"),
     ).first()
     assert got.over == {"a": "9", "b": None, "c": "3"}
