@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.maps import comma_list, keep_listed
 from freshet.operators.filters import dim_changes, fact_changes
+from freshet.operators.joins import broadcast_if_small
 
 
 def current_rules(
@@ -35,7 +36,8 @@ def current_rules(
 
 def _ready(rules: DataFrame) -> DataFrame:
     """The rules with their column list split once, not once per change row."""
-    return rules.withColumn("_listed", comma_list(F.col("sink_columns"))).drop("sink_columns")
+    listed = rules.withColumn("_listed", comma_list(F.col("sink_columns")))
+    return broadcast_if_small(listed.drop("sink_columns"))
 
 
 def route_dimensions(changes: DataFrame, rules: DataFrame, database: str) -> DataFrame:
@@ -46,7 +48,7 @@ def route_dimensions(changes: DataFrame, rules: DataFrame, database: str) -> Dat
     """
     kept = dim_changes(changes, database)
     carried = [c for c in changes.columns if c not in ("database", "table", "type", "old")]
-    ruled = kept.join(_ready(rules).withColumnRenamed("source_table", "table"), "table")
+    ruled = kept.join(_ready(rules.withColumnRenamed("source_table", "table")), "table")
     return ruled.select(
         "sink_table",
         "sink_family",
@@ -66,7 +68,7 @@ def route_facts(changes: DataFrame, rules: DataFrame, database: str) -> DataFram
     kept = fact_changes(changes, database)
     carried = [c for c in changes.columns if c not in ("database", "table", "type", "old", "data")]
     ruled = kept.join(
-        _ready(rules).withColumnsRenamed({"source_table": "table", "source_type": "type"}),
+        _ready(rules.withColumnsRenamed({"source_table": "table", "source_type": "type"})),
         ["table", "type"],
     )
     return ruled.select(

@@ -248,10 +248,11 @@ def dim_routing(spark, sf_dir):
 
 
 def dim_upsert(spark, sf_dir):
-    events = tables.read_table(spark, sf_dir, "events")
-    routed = routing.route_dimensions(
-        tables.profile_changes(events), tables.dimension_rules(spark), tables.DATABASE
+    """All dimensions folded from one log; the most changed one as a table."""
+    log = tables.profile_changes(tables.read_table(spark, sf_dir, "events")).unionByName(
+        tables.dimension_log(spark, sf_dir), allowMissingColumns=True
     )
+    routed = routing.route_dimensions(log, tables.dimension_rules(spark), tables.DATABASE)
     live = dimension.live_cells(dimension.cells(routed, ["ts", "seq"]))
     return dimension.dimension_table(live, "dim_user_profile", ["id", "last_k", "last_type"])
 

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.functions.times import DATETIME
 from freshet.schemas import DIM_RULE, FACT_RULE
@@ -416,9 +417,16 @@ def dimension_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rows(spark: SparkSession, data: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few fixed rows as part of the plan, so that their size is known to it."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(schema.names, row)]) for row in data]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def dimension_rules(spark: SparkSession) -> DataFrame:
-    """Rules for four of the five tables; one list has a space after its comma."""
-    return spark.createDataFrame(
+    """Rules for all tables but one; one list has a space after its comma."""
+    return _rows(
+        spark,
         [
             ("user_info", "dim_user_info", "id,name,segment", "info", "id"),
             ("sku_info", "dim_sku_info", "id,name,brand", "info", "id"),
@@ -449,7 +457,8 @@ def fact_changes_of_events(events: DataFrame) -> DataFrame:
 
 
 def fact_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return _rows(
+        spark,
         [
             ("coupon_use", "insert", "dwd_tool_coupon_get", "id,user_id,k"),
             ("coupon_use", "update", "dwd_tool_coupon_use", "id,user_id"),
