@@ -14,8 +14,6 @@ from freshet.streaming import sinks
 CLOSING_TIME = "2200-01-01 00:00:00"
 
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
-
-
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 
