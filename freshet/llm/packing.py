@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.common import stored, table
+from freshet.llm.common import lower_ascii, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -27,34 +27,44 @@ _PIECES = T.StructType(
     ]
 )
 _SPACE = re.compile(r"[ \t\r\n]+")
+_LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 
 class WordEncoder:
-    """Ids of a text, word by word from a bounded memory of words.
+    """Ids of a text as little-endian bytes, word by word from a bounded memory of words.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are its words' ids in a row.
+    The tokenizer drops white space, lower-cases, and merges neither across white space nor between a run of letters
+    and the marks behind it. So a text's ids are those of its words in a row, and a word's those of its letters and
+    of its marks; apostrophes, which bind some letters, stay with their word.
     """
 
-    def __init__(self, path: str, remembered: int = 200_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> list[int]:
-        known = self.known
+    def __call__(self, text: str) -> bytes:
         words = _SPACE.split(text)
-        fresh = list({w for w in words if w not in known})
-        if len(known) + len(fresh) > self.remembered:
-            known.clear()
-            fresh = list(set(words))
-        for word, made in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            known[word] = made.ids
-        ids: list[int] = []
+        if len(self.known) > self.remembered // 2:
+            self.known.clear()
+        if len(self.parts) > self.remembered:
+            self.parts.clear()
+        known, parts = self.known, self.parts
+        split = {}
         for word in words:
-            ids += known[word]
-        return ids
+            if word not in known and word not in split:
+                found = _LETTERS_MARKS.match(word)
+                split[word] = (lower_ascii(found[1]), found[2]) if found else (word,)
+        if split:
+            fresh = list({part for made in split.values() for part in made if part not in parts})
+            for part, code in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+                parts[part] = np.array(code.ids, dtype="<u4").tobytes()
+            for word, made in split.items():
+                known[word] = b"".join([parts[part] for part in made])
+        return b"".join([known[word] for word in words])
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -72,7 +82,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.array([*encode(text or ""), 0], dtype="<u4")
+                ids = np.frombuffer(encode(text or "") + bytes(4), dtype="<u4")
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
