@@ -172,14 +172,15 @@ def rule_number(rules: list[Rule], stats: str = "stats") -> Column:
     return out
 
 
-def judge(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> DataFrame:
-    """``docs`` without their text, with ``stats``, ``base_failed``, ``rule`` and ``kept``.
+def judge(docs: DataFrame, labels: DataFrame, sample: int = 20_000, carry_text: bool = False) -> DataFrame:
+    """``docs``, without their text unless ``carry_text``, with ``stats``, ``base_failed``, ``rule`` and ``kept``.
 
     Rules are fitted on at most ``sample`` labelled documents (those least by hash of their id; the documented bound of
     the fit); statistics, base tests and rules then cover every row. Rows that fail the base tests take no part in the fit.
     Null texts count as empty and so fail; null qualities are no labels; repeated rows are judged alike; with no labels, ``kept`` is the base verdict.
     """
-    columns = [c for c in docs.columns if c not in ("text", "stats", "base_failed", "rule", "kept")]
+    made = ["stats", "base_failed", "rule", "kept", *([] if carry_text else ["text"])]
+    columns = [c for c in docs.columns if c not in made]
     seen = stored(with_statistics(docs).select(*columns, "stats"), "statistics")
     marks = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = (

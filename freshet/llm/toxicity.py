@@ -16,11 +16,15 @@ BUCKETS, SIZE, FILTERS, WIDTHS = 2**17, 8, 8, (1, 2, 3)
 _WORD = re.compile(r"[^\W_]+")
 
 
+def _bucket(part: str) -> int:
+    return crc32(part.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
 class Codes:
-    """Bucket numbers of a text's words, lower-cased; remembers words up to a bound."""
+    """Two buckets a word, lower-cased: its own and its first four characters'; remembers words up to a bound."""
 
     def __init__(self, remembered: int = 500_000):
-        self.known: dict[str, int] = {}
+        self.known: dict[str, tuple[int, int]] = {}
         self.remembered = remembered
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -30,9 +34,9 @@ class Codes:
         for word in _WORD.findall((text or "").lower()):
             code = known.get(word)
             if code is None:
-                code = known[word] = crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+                code = known[word] = _bucket(word), _bucket("^" + word[:4])
             out.append(code)
-        return np.array(out, dtype=np.int32)
+        return np.array(out, dtype=np.int32).reshape(-1, 2)
 
 
 class Model:
@@ -50,7 +54,7 @@ class Model:
         """Largest response of every filter and the word where it begins; long texts go block by block."""
         best, where = np.zeros((len(WIDTHS), FILTERS), dtype=np.float32), np.full((len(WIDTHS), FILTERS), -1)
         for at in range(0, len(codes), block):
-            part = self.table[codes[at : at + block + max(WIDTHS) - 1]]
+            part = self.table[codes[at : at + block + max(WIDTHS) - 1]].sum(axis=1)
             for k, width in enumerate(WIDTHS):
                 n = len(part) - width + 1
                 if n < 1:
@@ -81,7 +85,7 @@ def fit(texts: list[np.ndarray], marks: np.ndarray, rounds: int = 8, rate: float
     for codes, mark in zip(texts, marks, strict=True):
         seen[int(mark), np.unique(codes)] += 1
     odds = np.log((seen[1] + 0.5) / (marks.sum() + 1)) - np.log((seen[0] + 0.5) / ((1 - marks).sum() + 1))
-    model.table[:, 0] = np.where(seen.sum(axis=0) > 2, odds, 0).clip(-4, 4) / 2
+    model.table[:, 0] = np.where(seen.sum(axis=0) >= 10, odds, 0).clip(-4, 4) / 2
     for k in range(len(WIDTHS)):
         model.filters[k][::SIZE] = np.abs(model.filters[k][::SIZE])
     model.out = np.abs(model.out)
@@ -112,7 +116,7 @@ def fit(texts: list[np.ndarray], marks: np.ndarray, rounds: int = 8, rate: float
                 if not len(on):
                     continue
                 rows = codes[where[k][on][:, None] + np.arange(width)]
-                vectors = model.table[rows].reshape(len(on), -1)
+                vectors = model.table[rows].sum(axis=2).reshape(len(on), -1)
                 to_table = (model.filters[k][:, on].T * back[k][on][:, None]).reshape(len(on), width, SIZE)
                 gradient = np.zeros_like(model.filters[k])
                 gradient[:, on] = (vectors * back[k][on][:, None]).T
@@ -120,9 +124,10 @@ def fit(texts: list[np.ndarray], marks: np.ndarray, rounds: int = 8, rate: float
                 shift = np.zeros(FILTERS, dtype=np.float32)
                 shift[on] = back[k][on]
                 step(f"s{k}", model.shifts[k], shift)
-                names, place = np.unique(rows.ravel(), return_inverse=True)
+                names, place = np.unique(rows.reshape(-1, 2), return_inverse=True)
                 total = np.zeros((len(names), SIZE), dtype=np.float32)
-                np.add.at(total, place.ravel(), to_table.reshape(-1, SIZE))
+                for half in place.reshape(-1, 2).T:
+                    np.add.at(total, half, to_table.reshape(-1, SIZE))
                 step("table", model.table, total, names)
     return model
 
@@ -151,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3_000) -> Model:
 
     rows = known.mapInPandas(coded, "doc_id long, toxic int, codes binary").toPandas()
     rows = rows.sort_values(["doc_id", "codes"]).drop_duplicates(["codes"])
-    return fit([np.frombuffer(c, dtype=np.int32) for c in rows["codes"]], rows["toxic"].to_numpy(float))
+    return fit([np.frombuffer(c, dtype=np.int32).reshape(-1, 2) for c in rows["codes"]], rows["toxic"].to_numpy(float))
 
 
 def scored(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
