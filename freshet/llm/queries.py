@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
-from freshet.llm import decision_lists, html_blocks, minhash_forest, mixing, packing, toxicity
+from freshet.llm import (
+    backoff_model,
+    decision_lists,
+    epsilon_grid,
+    html_blocks,
+    licences,
+    minhash_forest,
+    mixing,
+    packing,
+    toxicity,
+    url_filters,
+)
 
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         html_blocks.op1_html_extraction,
         packing.op2_best_fit_packing,
+        epsilon_grid.op3_epsilon_grid,
+        licences.op4_license_scan,
+        url_filters.op5_url_filters,
         decision_lists.op6_quality_rules,
         minhash_forest.op7_minhash_forest,
+        backoff_model.op8_backoff_model,
         mixing.op9_mixing,
         toxicity.op10_toxicity,
     )
