@@ -50,7 +50,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("toxicity", toxic), ("near copies", near_copies), ("mixing", mixed), ("packing", packed)]
 
-#: Learned rules, a classifier and a tokenizer are beyond SQL; tests/llm holds the stages to a brute-force version.
+#: Learned rules, a classifier and a tokenizer are beyond SQL; tests/llm tests the operators, the chain has no test of its own yet.
 ORACLE_SQL = None
 
 
