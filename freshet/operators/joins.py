@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from freshet.operators.skew import skew_join
 
-SMALL_ROWS = 100_000
-
 
 def fact_join(
     left: DataFrame,
@@ -110,20 +108,12 @@ def interval_join(
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Marks a lookup side for broadcast once its size is known to be small.
+def lookup(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
+    """Adds ``name`` from the dictionary; rows with an unknown code vanish.
 
-    At most ``max_rows + 1`` rows are counted.  A larger side is left as it is
-    and takes Spark's shuffle join, with adaptive splitting of busy keys.
+    Whether the dictionary is broadcast follows from its measured bytes.
     """
-    if df.isStreaming or df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)
-
-
-def lookup(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFrame:
-    """Adds ``name`` from the dictionary; rows with an unknown code vanish."""
     entries = dictionary.select(
         F.col("dic_code").alias(code), F.col("info.dic_name").alias(name)
     )
-    return df.join(broadcast_if_small(entries), code, "inner")
+    return df.join(entries, code, "inner")

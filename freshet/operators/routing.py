@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from freshet.functions.maps import comma_list, keep_listed
 from freshet.operators.filters import dim_changes, fact_changes
-from freshet.operators.joins import broadcast_if_small
 
 
 def current_rules(
@@ -37,7 +36,7 @@ def current_rules(
 def _ready(rules: DataFrame) -> DataFrame:
     """The rules with their column list split once, not once per change row."""
     listed = rules.withColumn("_listed", comma_list(F.col("sink_columns")))
-    return broadcast_if_small(listed.drop("sink_columns"))
+    return listed.drop("sink_columns")
 
 
 def route_dimensions(changes: DataFrame, rules: DataFrame, database: str) -> DataFrame:

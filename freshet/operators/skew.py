@@ -18,22 +18,20 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 1_000_000
 
-# The list of hot keys is broadcast, so it holds no more than this many: the
-# hottest.  Other keys are joined all the same, each in one task.
-HOT_KEYS_AT_MOST = 10_000
-
 # Rows with a null key match nothing; they are spread this wide.
 NULL_SPREAD = 4096
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
-    """Hot keys and over how many sub-keys to spread each (``_parts``)."""
+    """Hot keys and over how many sub-keys to spread each (``_parts``).
+
+    Each stands for more than ``rows_per_task`` rows, so there are fewer of them
+    than rows / ``rows_per_task``; how they are joined is left to their measured bytes.
+    """
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > rows_per_task)
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(HOT_KEYS_AT_MOST)
         .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts"))
     )
 
@@ -70,7 +68,7 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError(f"cannot copy the light side of a {how} join")
     keys = list(keys)
-    hot = F.broadcast(hot_keys(heavy if sample_of is None else sample_of, keys, rows_per_task))
+    hot = hot_keys(heavy if sample_of is None else sample_of, keys, rows_per_task)
     no_key = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
     part = F.when(F.col("_parts").isNotNull(), _spread(heavy, F.col("_parts")))
     if how == "left":

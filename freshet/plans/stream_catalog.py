@@ -1,8 +1,8 @@
 """Streaming jobs run over the stored tables, by query name.
 
 Each replays its table through Structured Streaming into the shared folder and
-returns the written rows.  Rows must lie in the table in rough time order, as
-they would in a topic.
+returns the written rows.  A table of many files is fed in event-time order,
+as a topic would bring it.
 """
 
 from __future__ import annotations

@@ -36,11 +36,13 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 
-    Only where the setting is missing, as in a local test, a temporary folder
-    is used and remembered in the session.
+    Where the setting is missing, a local session takes a temporary folder and
+    remembers it; on a cluster no folder of one machine would do, so that raises.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a folder there that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="freshet-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

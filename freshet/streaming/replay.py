@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from freshet.session import ROCKSDB_PROVIDER, run_dir
 from freshet.streaming import sinks
@@ -18,12 +19,12 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 @contextmanager
-def _settings(spark: SparkSession) -> Iterator[None]:
-    """State is cut into at most one partition per core, as each costs a store
-    and a Python worker per batch; the session's settings come back after."""
+def _settings(spark: SparkSession, state_partitions: int | None) -> Iterator[None]:
+    """State is cut into ``state_partitions``, or at most one per core, as each costs
+    a store and a Python worker per batch; the session's settings come back after."""
     usual = {key: spark.conf.get(key) for key in (NO_DATA_BATCHES, PARTITIONS)}
     cores = spark.sparkContext.defaultParallelism
-    spark.conf.set(PARTITIONS, str(min(int(usual[PARTITIONS]), max(cores, 1))))
+    spark.conf.set(PARTITIONS, str(state_partitions or min(int(usual[PARTITIONS]), max(cores, 1))))
     try:
         yield
     finally:
@@ -35,6 +36,19 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
+def _time_slices(rows: DataFrame, time: str, slices: int) -> list[DataFrame]:
+    """``rows`` cut by event time into about equal slices, earliest first; equal times stay together."""
+    shares = [k / slices for k in range(1, slices)]
+    cuts = rows.agg(F.percentile_approx(time, shares)).first()[0] or []
+    at = F.col(time)
+    found, below = [], None
+    for cut in sorted(set(cuts)):
+        inside = at <= F.lit(cut)
+        found.append(rows.where(at.isNull() | inside if below is None else (at > F.lit(below)) & inside))
+        below = cut
+    return [*found, rows if below is None else rows.where(at > F.lit(below))]
+
+
 def replay(
     spark: SparkSession,
     name: str,
@@ -44,35 +58,45 @@ def replay(
     *,
     writer: Callable[[str], sinks.BatchWriter] = sinks.to_parquet,
     files_per_batch: int = 64,
+    time: str = "ts",
+    state_partitions: int | None = None,
 ) -> str:
     """Streams the parquet table at ``path`` through ``job``; returns the output path.
 
-    The first run takes what is there.  Then the ``closing`` rows arrive and
-    the query goes on from its checkpoint, which closes the last windows.
+    A table of up to ``files_per_batch`` files is one micro-batch.  A larger one is
+    cut by ``time`` into slices of about as many files, which arrive one after the
+    other, so how rows are spread over files does not change what is late.  Then the
+    ``closing`` rows arrive and the query goes on from its checkpoint, which closes
+    the last windows.  A checkpoint keeps its number of ``state_partitions``.
     """
     use_rocksdb(spark)
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(path)
+    schema = table.schema
     folder = run_dir(spark, name)
     late = f"{folder}/closing"
     spark.createDataFrame([], schema).write.parquet(late)
+    batches = -(-len(table.inputFiles()) // files_per_batch)
+    fed = f"{folder}/fed" if batches > 1 else path
 
     def source(location: str) -> DataFrame:
-        return (
-            spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_batch)
-            .parquet(location)
-        )
+        return spark.readStream.schema(schema).parquet(location)
 
     out = f"{folder}/rows"
 
     def run(to_the_end: bool) -> None:
         # A batch without rows only moves the watermark on; the last run does it.
         spark.conf.set(NO_DATA_BATCHES, str(to_the_end).lower())
-        rows = job(source(path).unionByName(source(late)))
+        rows = job(source(fed).unionByName(source(late)))
         sinks.start(rows, f"{folder}/state", writer(out)).awaitTermination()
 
-    with _settings(spark):
-        run(not closing)
+    with _settings(spark, state_partitions):
+        if batches > 1:
+            slices = _time_slices(table, time, batches)
+            for k, part in enumerate(slices):
+                part.write.mode("append").parquet(fed)
+                run(not closing and k == len(slices) - 1)
+        else:
+            run(not closing)
         if closing:
             rows = [{field.name: row.get(field.name) for field in schema} for row in closing]
             spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(late)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from freshet.operators import ordered, pattern, skew, visits
 from freshet.operators.joins import interval_join
+from freshet.session import shared_dir
 
 
 def _heavy(spark, n=3000):
@@ -158,3 +159,24 @@ def test_pattern_equals_a_loop(spark):
                 want.append((u, then, ts))
         last[u] = (ts, kind)
     assert rows(got, "user_id", "first_ts", "second_ts") == sorted(want, key=repr)
+
+
+def test_every_hot_key_is_split_however_many_there_are(spark):
+    heavy = spark.range(21_000).selectExpr("id % 10500 AS k", "id AS x")
+    light = spark.range(10_500).selectExpr("id AS k", "id * 2 AS y")
+    assert skew.hot_keys(heavy, ["k"], 1).count() == 10_500
+    got = skew.skew_join(heavy, light, ["k"], rows_per_task=1)
+    assert got.exceptAll(heavy.join(light, ["k"])).isEmpty()
+    assert got.count() == 21_000
+
+
+def test_a_cluster_without_a_shared_folder_raises():
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:1"
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster)
