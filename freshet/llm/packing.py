@@ -26,7 +26,6 @@ _PIECES = T.StructType(
         T.StructField("ids_crc32", T.LongType()),
     ]
 )
-_SPACE = re.compile(r"[ \t\r\n]+")
 _LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
 
@@ -38,7 +37,7 @@ class WordEncoder:
     of its marks; apostrophes, which bind some letters, stay with their word.
     """
 
-    def __init__(self, path: str, remembered: int = 600_000):
+    def __init__(self, path: str, remembered: int = 2_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -47,24 +46,26 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
-        words = _SPACE.split(text)
+        words = text.replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ")
         if len(self.known) > self.remembered // 2:
             self.known.clear()
         if len(self.parts) > self.remembered:
             self.parts.clear()
         known, parts = self.known, self.parts
         split = {}
-        for word in words:
-            if word not in known and word not in split:
-                found = _LETTERS_MARKS.match(word)
-                split[word] = (lower_ascii(found[1]), found[2]) if found else (word,)
+        for word in set(words).difference(known):
+            found = _LETTERS_MARKS.match(word)
+            if found:
+                split[word] = (found[1].lower() if found[1].isascii() else lower_ascii(found[1]), found[2])
+            else:
+                split[word] = (word,)
         if split:
             fresh = list({part for made in split.values() for part in made if part not in parts})
             for part, code in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
                 parts[part] = np.array(code.ids, dtype="<u4").tobytes()
             for word, made in split.items():
                 known[word] = b"".join([parts[part] for part in made])
-        return b"".join([known[word] for word in words])
+        return b"".join(map(known.__getitem__, words))
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
