@@ -15,6 +15,8 @@ from freshet.llm.components import components
 
 SHINGLE = 5
 TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS = 24, 6, 2, 8
+#: More than NEIGHBOURS rows that share so many hashes are a crowd; shingles of more components than that are dense.
+CROWD, DENSE = 3, 32
 _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)]
@@ -86,7 +88,7 @@ def _neighbours(batches):
     """Rows in sorted order: pairs with near successors, and the rows at both ends for a second pass.
 
     A row's depth is one more than what it shares with its NEIGHBOURS-th successor, so a crowded region asks for a
-    longer prefix; neighbours that share the whole key stay chained to each other.
+    longer prefix. All rows of a window whose ends share CROWD hashes are marked as crowded by a pair of a row with itself.
     """
     tail = pd.DataFrame(columns=["tree", "key", "doc_id", "n_shingles"])
     first = True
@@ -120,6 +122,10 @@ def _neighbours(batches):
         if pairs:
             both = np.unique(np.concatenate(pairs, axis=1), axis=1)
             both = both[:, both[0] < both[1]]
+            if len(rows) > NEIGHBOURS:
+                starts = np.flatnonzero(shared(NEIGHBOURS) >= CROWD)
+                marked = np.unique(ids[np.unique(starts[:, None] + np.arange(NEIGHBOURS + 1))])
+                both = np.concatenate([both, np.stack([marked, marked])], axis=1)
             yield pd.DataFrame({"a": both[0], "b": both[1], "tree": None, "key": None, "doc_id": None, "n_shingles": None}).astype(
                 {"a": "Int64", "b": "Int64", "tree": "Int32", "doc_id": "Int64", "n_shingles": "Int64"}
             )
@@ -129,7 +135,10 @@ def _neighbours(batches):
 
 
 def candidates(reps: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b, votes) of neighbours in any tree; ``reps`` has doc_id, n_shingles, signature."""
+    """Distinct pairs (a, b, votes) of neighbours in any tree; ``reps`` has doc_id, n_shingles, signature.
+
+    A crowded row, whose partners may be further away than its neighbours, is paired with itself.
+    """
     width = 4 * DEPTH
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rows = reps.select("doc_id", "n_shingles", "signature", tree).selectExpr(
@@ -195,19 +204,88 @@ def confirmed(pairs: DataFrame, reps: DataFrame, least_agreement: float = 0.5) -
     )
 
 
+def _sharing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components and fitting lengths that share a shingle; columns h, part, doc_id, n.
+
+    A component's rows of one shingle are one list in at most 64 pieces, so its rows never meet each other.
+    """
+
+    def lists(postings: DataFrame, side: str) -> DataFrame:
+        piece = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+        listed = postings.groupBy("h", F.col("part").alias(f"{side}_part"), piece.alias("piece"))
+        return listed.agg(F.collect_list(F.struct("doc_id", "n")).alias(f"{side}_rows")).drop("piece")
+
+    met = lists(left, "x").join(lists(right, "y"), "h").where("x_part <> y_part")
+    met = met.select(F.explode("x_rows").alias("x"), "y_rows").select("x", F.explode("y_rows").alias("y"))
+    met = met.where("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)")
+    return met.selectExpr("least(x.doc_id, y.doc_id) AS a", "greatest(x.doc_id, y.doc_id) AS b").distinct()
+
+
+def crowd_pairs(reps: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b) that, once confirmed, join all components that a link between two rows of ``crowd`` would join.
+
+    A link needs three quarters of each set in common, all of it in shingles that occur in more than one component.
+    In one order of these, rare ones first, both sets have the first common shingle in what may be missing plus one, so
+    rows that share a shingle there are paired if it is in at most DENSE components. Where all common shingles are in more,
+    one of the two sets has 6/7 of its own among such: of those, rows with the same dense shingles link to the
+    smallest set of them, and that one stands for them against all others by the same order.
+    """
+    own = parts.select(F.col("node").alias("doc_id"), "component_id")
+    rows = reps.join(crowd, "doc_id", "left_semi").join(own, "doc_id", "left")
+    rows = rows.selectExpr("doc_id", "n_shingles AS n", "coalesce(component_id, doc_id) AS part", "body")
+
+    def opened(batches):
+        import zstandard
+
+        shingled, open_ = Shingles(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            found = [shingled(open_.decompress(body).decode("utf-8", "surrogatepass").split(" ")).view(np.int64) for body in batch["body"]]
+            yield batch[["doc_id", "n", "part"]].assign(found=found)
+
+    sets = stored(rows.mapInPandas(opened, "doc_id long, n long, part long, found array<long>"), "crowd")
+    postings = sets.select("doc_id", "n", "part", F.explode("found").alias("h"))
+    spread = postings.select("h", "part").distinct().groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = postings.join(spread, "h").groupBy("doc_id", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("found"))
+    ordered = stored(
+        ordered.where("4 * size(found) >= 3 * n").selectExpr(
+            "doc_id",
+            "n",
+            "part",
+            f"transform(filter(slice(found, 1, int(size(found) - ceil(3 * n / 4) + 1)), x -> x.df <= {DENSE}), x -> x.h) AS rare",
+            f"transform(filter(found, x -> x.df > {DENSE}), x -> x.h) AS dense",
+        ),
+        "ordered",
+    )
+    rare = ordered.select("doc_id", "n", "part", F.explode("rare").alias("h"))
+    units = ordered.where("size(dense) > 0 and 4 * size(dense) >= 3 * n").withColumn("cls", F.md5(F.concat_ws(",", F.col("dense").cast("array<string>"))))
+    units = stored(units.groupBy("cls", "part").agg(F.min(F.struct("n", "doc_id", "dense")).alias("u")).select("cls", "part", "u.*"), "units")
+    full = units.where("7 * size(dense) >= 6 * n")
+    heads = full.groupBy("cls").agg(F.min(F.struct("n", "doc_id", "part", "dense")).alias("u")).select("cls", "u.*")
+    salted = heads.select("cls", F.col("doc_id").alias("head"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    chained = full.withColumn("salt", F.pmod("doc_id", F.lit(16)).cast("int")).join(salted, ["cls", "salt"]).where("doc_id <> head")
+    first = F.expr("explode(slice(dense, 1, int(size(dense) - ceil(3 * n / 4) + 1)))").alias("h")
+    return (
+        _sharing(rare, rare)
+        .union(_sharing(units.select("doc_id", "n", "part", first), heads.select("doc_id", "n", "part", first)))
+        .union(chained.selectExpr("least(doc_id, head)", "greatest(doc_id, head)"))
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
 
     Texts with the same words are one class with the least doc_id as its node, so copies are never paired. Every row
     first proposes its best neighbour; other candidates are checked if their ends are still in different components, for only
-    they can change one. Null and empty texts have no shingles and link with nothing; a row without an id is kept and
+    they can change one. Crowded rows, whose partners may be beyond their neighbours, are then joined exactly. Null and empty texts have no shingles and link with nothing; a row without an id is kept and
     in no component; rows that share an id are one node; an empty table gives no rows.
     """
     seen = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(_sketch, _SEEN), "sketches")
     classes = seen.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")).where("rep is not null")
     nodes = classes.groupBy("rep").agg(F.min("cls").alias("cls")).withColumnRenamed("rep", "doc_id")
     reps = stored(seen.join(nodes, ["doc_id", "cls"]).dropDuplicates(["doc_id"]), "reps")
-    pairs = stored(candidates(reps), "candidates")
+    found = stored(candidates(reps), "candidates")
+    pairs, crowd = found.where("a < b"), found.where("a = b").select(F.col("a").alias("doc_id"))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")).select("a", "b")
     links = stored(confirmed(best, reps), "links")
     parts = stored(components(links.toDF("u", "v")), "components")
@@ -217,7 +295,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ends = ends.join(part, end, "left")
     crossing = ends.where("coalesce(a_part, a) <> coalesce(b_part, b)").select("a", "b").join(best, ["a", "b"], "left_anti")
     more = confirmed(stored(crossing, "crossing"), reps)
-    parts = stored(components(stored(links.union(more), "links").toDF("u", "v")), "components")
+    links = stored(links.union(more), "links")
+    parts = stored(components(links.toDF("u", "v")), "components")
+    beyond = stored(confirmed(stored(crowd_pairs(reps, crowd, parts), "crowd-pairs"), reps), "beyond")
+    if not beyond.isEmpty():
+        parts = stored(components(links.union(beyond).toDF("u", "v")), "components")
     placed = classes.join(parts, classes["rep"] == parts["node"], "left").select(
         "cls", F.coalesce("component_id", "rep").alias("component_id")
     )

@@ -221,6 +221,48 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash_forest.near_duplicates(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
+def brute_components(texts):
+    sets = [set(zip(*(minhash_forest.words_of(text)[k:] for k in range(5)), strict=False)) for text in texts]
+    least = list(range(len(texts)))
+    pairs = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if 7 * len(sets[a] & sets[b]) >= 3 * (len(sets[a]) + len(sets[b]))]
+    for _ in pairs:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    return pairs, least
+
+
+def test_pairs_in_a_crowd_below_the_threshold_are_found(spark):
+    draw, passage = np.random.default_rng(5), prose(148, 1)
+    tails = [prose(28, 100 + k).split() for k in range(900)]
+    order = draw.permutation(900)
+    for a, b in zip(order[:40:2], order[1:40:2], strict=True):  # 0.72 with all others, 0.76 with each other
+        tails[b][:5] = tails[a][:5]
+    texts = [" ".join([passage, *tail]) for tail in tails]
+    pairs, least = brute_components(texts)
+    assert len(pairs) == 20
+    got = {r.doc_id: r.component_id for r in minhash_forest.near_duplicates(docs_of(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == least
+
+
+def test_crowd_pairs_of_texts_that_are_dense_passages(spark):
+    draw = np.random.default_rng(6)
+    pool = [prose(60, k) for k in range(24)]
+    picks = [draw.permutation(24)[:16] for _ in range(120)]
+    for k in range(0, 40, 2):  # all but one passage in common, in another order
+        spare = np.setdiff1d(np.arange(24), picks[k])[0]
+        picks[k + 1] = draw.permutation(np.append(picks[k][1:], spare))
+    picks += [picks[50], picks[50][::-1], picks[51], draw.permutation(picks[51])]
+    texts = [" ".join(pool[p] for p in pick) + " " + prose(k % 20, 500 + k) for k, pick in enumerate(picks)]
+    pairs, least = brute_components(texts)
+    assert len(pairs) >= 20
+    seen = docs_of(spark, texts).select("doc_id", "text").mapInPandas(minhash_forest._sketch, minhash_forest._SEEN)
+    alone = spark.createDataFrame([], "node long, component_id long")
+    proposed = minhash_forest.crowd_pairs(seen, seen.select("doc_id"), alone)
+    links = minhash_forest.confirmed(proposed, seen).toDF("u", "v")
+    got = {r.node: r.component_id for r in components.components(links).collect()}
+    assert [got.get(k, k) for k in range(len(texts))] == least
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (5, 5)], "u long, v long")
     got = {r.node: r.component_id for r in components.components(edges).collect()}
