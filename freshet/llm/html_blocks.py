@@ -27,6 +27,7 @@ NAMES = set(
     "notices pager pagination popup promo promotion related replies reply respond share sharing sidebar signup skip "
     "social sponsor sponsored subscribe tags toolbar widget".split()
 )
+WHOLE = set("html body main article".split())  # their names speak of the page's layout, not of their text
 ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 STOP = set(
     "the of and to in is it that for was on are with as be by this at from or an a not have which you he his they we "
@@ -48,7 +49,10 @@ def _is_boiler(name: str, attributes: str, in_article: bool) -> bool:
         return True
     for key, *values in _ATTRIBUTE.findall(attributes):
         parts = set(re.split(r"[\s_-]+", "".join(values).lower()))
-        if parts & (ROLES if key.lower() == "role" else NAMES):
+        if key.lower() == "role":
+            if parts & ROLES:
+                return True
+        elif name not in WHOLE and parts & NAMES:
             return True
     return bool(attributes and _HIDDEN.search(attributes))
 
@@ -97,9 +101,11 @@ def blocks(page: str) -> Iterator[tuple[str, int, bool, bool]]:
                 if stack[k][0] == name:
                     del stack[k:]
                     break
+        elif token[3].endswith("/"):
+            continue
         elif name in RAW:
             raw = name
-        elif name not in VOID and not token[3].endswith("/"):
+        elif name not in VOID:
             if name in ("p", "li") and stack and stack[-1][0] == name:
                 stack.pop()
             inner = article or name in ("article", "main")
@@ -112,48 +118,52 @@ def blocks(page: str) -> Iterator[tuple[str, int, bool, bool]]:
         yield text, inside, boiler, article
 
 
-def _judged(text: str, inside: int, boiler: bool, article: bool, short: int, stop_low: float, link_high: float):
-    """True: text; False: boilerplate; None: ambiguous until the second pass."""
-    if boiler or inside > link_high * len(text):
-        return False
+def _stop_words(text: str) -> tuple[int, int]:
     words = [_EDGE.sub("", w).lower() for w in text.split()]
-    density = sum(w in STOP for w in words) / len(words)
-    if len(text) >= short and density >= stop_low:
-        return True
-    if len(text) < short or article:
-        return None
-    return False
+    return sum(w in STOP for w in words), len(words)
 
 
 def main_text(page: str | None, short: int = 80, stop_low: float = 0.1, link_high: float = 0.4) -> str:
     """The page's text blocks, one per line; empty for null, empty or all-boilerplate pages.
 
     First pass: link density, structure and stop-word density decide a block; short ones, and unusual ones inside
-    an article, stay open. Second pass: an open block takes the verdict of its nearest decided neighbours on the same side of
-    the article's border; if they differ or there are none, being in the article decides. Without any article, a page's open
-    blocks next to text on either side are text.
+    an article, stay open. Where the whole page has hardly any stop words, its language is none of the four and length
+    stands in for them in the article, or anywhere if there is none. Second pass: an open block looks at its nearest neighbours
+    on the same side of the article's border that text or links decided. Inside an article it is dropped only between two
+    dropped ones, and only if the article has decided text at all. Outside it takes their verdict; if they differ or there are
+    none it is dropped, but without any article, a page's open blocks next to text on either side are text.
     """
     found = list(blocks(page or ""))
-    verdicts = [_judged(*block, short, stop_low, link_high) for block in found]
+    any_article = any(block[3] for block in found)
+    loose = [not boiler and inside <= link_high * len(text) for text, inside, boiler, _ in found]
+    stops = [_stop_words(block[0]) if free else (0, 0) for block, free in zip(found, loose, strict=True)]
+    foreign = sum(n for n, _ in stops) < stop_low / 2 * sum(n for _, n in stops)
+    verdicts: list[bool | None] = []  # True: text; False: boilerplate; None: open until the second pass
+    for (text, _, _, article), free, (hits, n) in zip(found, loose, stops, strict=True):
+        if not free:
+            verdicts.append(False)
+        elif len(text) >= short and (hits >= stop_low * n or (foreign and (article or not any_article))):
+            verdicts.append(True)
+        else:
+            verdicts.append(None if len(text) < short or article or foreign else False)
     left: list[bool | None] = []
     right: list[bool | None] = []
     for order, out in ((range(len(found)), left), (range(len(found) - 1, -1, -1), right)):
         last: dict[bool, bool | None] = {True: None, False: None}
         for k in order:
             out.append(last[found[k][3]])
-            if verdicts[k] is not None:
+            if verdicts[k] is not None and not found[k][2]:
                 last[found[k][3]] = verdicts[k]
     right.reverse()
-    any_article = any(block[3] for block in found)
+    text_in_article = any(verdict and block[3] for verdict, block in zip(verdicts, found, strict=True))
     kept = []
     for k, (text, _, _, article) in enumerate(found):
         verdict = verdicts[k]
-        if verdict is None:
+        if verdict is None and article:
+            verdict = not (text_in_article and left[k] is False and right[k] is False)
+        elif verdict is None:
             near = {left[k], right[k]} - {None}
-            if len(near) == 1:
-                verdict = near.pop()
-            else:
-                verdict = article or (not any_article and True in near)
+            verdict = near == {True} or (not any_article and True in near)
         if verdict:
             kept.append(text)
     return "\n".join(kept)

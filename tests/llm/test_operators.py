@@ -53,6 +53,26 @@ def test_main_text_keeps_the_article_alone():
     ]
 
 
+LONG = "The fox is in the house and it was for the dogs that they have seen at noon, as it is on all of the days."
+POLISH = "Wczoraj wieczorem mieszkańcy dzielnicy zauważyli lisa, który spacerował spokojnie między domami przez kilka godzin."
+ADVERT = "<div class='advert'>Buy now</div>"
+
+
+@pytest.mark.parametrize(
+    ("page", "kept"),
+    [
+        (f"<article><h1>Title</h1><div class='share'>Share it</div><p>{LONG}</article>", ["Title", LONG]),
+        (f"<article><p>One.</p>{ADVERT}<p>Two.</p><p><a href='/'>Read on</a></p><p>Three.</article>", ["One.", "Two.", "Three."]),
+        (f"<article><h1>Lis</h1>{ADVERT}<p>{POLISH}</article>", ["Lis", POLISH]),
+        (f"<body>{ADVERT}<div><h1>Lis</h1><p>{POLISH}</p></div><nav>Menu</nav></body>", ["Lis", POLISH]),
+        (f"<html class='has-social'><body class='sidebar-right'><main id='main-widget'><article class='post comments'><p>{LONG}</article></main>", [LONG]),
+        (f"<article><h1>Title</h1><svg class='i'/><iframe src='/x' /><p>{LONG}</article>", ["Title", LONG]),
+    ],
+)
+def test_main_text_of_ordinary_pages_is_whole(page, kept):
+    assert html_blocks.main_text(page).split("\n") == kept
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<!-- x", "<p", "</p></p>", "<script>never closed"])
 def test_main_text_of_broken_pages_is_empty_or_text(page):
     assert isinstance(html_blocks.main_text(page), str)
