@@ -1,4 +1,4 @@
-"""Language-model scores by a weighted backoff automaton over word pairs."""
+"""Language-model scores by word pairs interpolated with single words."""
 
 from __future__ import annotations
 
@@ -131,8 +131,8 @@ def _traverse(total: int, distinct: int, texts: int):
 def scored(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
-    States are the words seen in training; an arc to the next word weighs its share of the pairs from here, and the failure arc
-    leads to the state without context, the smoothed single words, so every state's weights sum to one. The counts stay
+    Interpolated, not backed off: after a word seen in training, its share of the pairs from here and the smoothed share of
+    the single word are always added, 0.4 to 0.6, so each word's probabilities sum to one. The counts stay
     a table: each chunk of documents asks for the grams it holds and gets their counts by a join, so no task holds the model.
     Null and empty texts are one end token; a null id is a training row; repeated rows count and are scored each; an
     empty table gives no rows.
