@@ -21,16 +21,15 @@ def lower_ascii(text: str) -> str:
     return text.translate(_LOWER)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, row_group_mb: int | None = None) -> DataFrame:
     """Writes ``df`` into the shared folder and reads it back: lineage ends here.
 
     A lost executor then costs a rerun of one read, and readers of one run
-    all see the same rows.
+    all see the same rows. Small row groups let several tasks read one file.
     """
     path = run_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    out = df.write.option("compression", "zstd")
+    if row_group_mb:
+        out = out.option("parquet.block.size", row_group_mb << 20)
+    out.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-
-

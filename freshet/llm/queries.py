@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from freshet.llm import (
     backoff_model,
+    byte_bpe,
     decision_lists,
     epsilon_grid,
     html_blocks,
@@ -28,6 +29,7 @@ LLM_QUERIES = {
         backoff_model.op8_backoff_model,
         mixing.op9_mixing,
         toxicity.op10_toxicity,
+        byte_bpe.op13_byte_bpe,
     )
 }
 
