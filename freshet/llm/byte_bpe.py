@@ -29,7 +29,7 @@ SETTLED = 3
 LONG_BLANK = 50_000
 
 # White space as the pattern has it; \x1c to \x1f are not in it, though Python's \s has them.
-_BLANK = r"[\t-\r \x85\xa0  -     　]"
+_BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _SURE = re.compile(f"(?!{_BLANK})[\\s\\S](?={_BLANK})")
 _LONG_BLANK = re.compile(f"{_BLANK}{{{LONG_BLANK}}}")
 
@@ -98,6 +98,8 @@ def stitch(pattern, window: str, next_begin: int, grid_at: int, last: bool) -> i
     """
     limit = len(window) if last else len(window) - SETTLED
     mine = {m.end() for m in pattern.finditer(window) if grid_at <= m.end() <= limit}
+    if next_begin in mine:
+        return next_begin
     for m in pattern.finditer(window, next_begin):
         if m.end() in mine:
             return m.end()
