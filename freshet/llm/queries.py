@@ -14,6 +14,7 @@ from freshet.llm import (
     packing,
     toxicity,
     url_filters,
+    whitening,
 )
 
 LLM_QUERIES = {
@@ -29,6 +30,7 @@ LLM_QUERIES = {
         backoff_model.op8_backoff_model,
         mixing.op9_mixing,
         toxicity.op10_toxicity,
+        whitening.op11_whitening,
         byte_bpe.op13_byte_bpe,
     )
 }
