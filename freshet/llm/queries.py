@@ -7,6 +7,7 @@ from freshet.llm import (
     byte_bpe,
     decision_lists,
     epsilon_grid,
+    hard_negatives,
     html_blocks,
     licences,
     minhash_forest,
@@ -31,8 +32,9 @@ LLM_QUERIES = {
         mixing.op9_mixing,
         toxicity.op10_toxicity,
         whitening.op11_whitening,
+        hard_negatives.op12_hard_negatives,
         byte_bpe.op13_byte_bpe,
     )
 }
 
-LLM_ORACLE_SQL: dict[str, str] = {}
+LLM_ORACLE_SQL: dict[str, str] = {"op12_hard_negatives": hard_negatives.ORACLE_SQL}
