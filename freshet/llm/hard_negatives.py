@@ -367,10 +367,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL = """
 WITH sound AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, c -> floor(256 * CAST(c AS DOUBLE))) AS x
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, c -> c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
 ), anchors AS (
   SELECT * FROM sound WHERE vec_id % 100 = 0
 ), scored AS (
