@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from freshet.functions.maps import without_nulls
 
 
-def cells(routed: DataFrame, order: Sequence[str]) -> DataFrame:
+ROW_KEYS = ("sink_table", "row_key")
+
+
+def cells(routed: DataFrame, order: Sequence[str], keys: Sequence[str] = ROW_KEYS) -> DataFrame:
     """Routed change rows as cells (``sink_table, row_key, col, value, at``).
 
     A delete becomes one cell whose ``col`` is null.
@@ -28,39 +31,38 @@ def cells(routed: DataFrame, order: Sequence[str]) -> DataFrame:
         F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value"))
     )
     return routed.select(
-        "sink_table",
-        "row_key",
+        *keys,
         at.alias("at"),
         F.explode(F.when(F.col("op_type") == "delete", deleted).otherwise(written)).alias("_e"),
     ).select(
-        "sink_table",
-        "row_key",
+        *keys,
         F.col("_e.key").alias("col"),
         F.col("_e.value").alias("value"),
         "at",
     )
 
 
-def latest_cells(all_cells: DataFrame) -> DataFrame:
+def latest_cells(all_cells: DataFrame, keys: Sequence[str] = ROW_KEYS) -> DataFrame:
     """The last write of each cell; folding folded cells again is allowed."""
     return (
-        all_cells.groupBy("sink_table", "row_key", "col")
+        all_cells.groupBy(*keys, "col")
         .agg(F.max(F.struct("at", "value")).alias("_last"))
-        .select("sink_table", "row_key", "col", "_last.value", "_last.at")
+        .select(*keys, "col", "_last.value", "_last.at")
     )
 
 
-def live_cells(all_cells: DataFrame, resets: DataFrame | None = None) -> DataFrame:
+def covered_dropped(last: DataFrame, keys: Sequence[str] = ROW_KEYS) -> DataFrame:
+    """Folded cells without those a later delete of their row covers; the deletes themselves stay."""
+    deleted_at = F.max(F.when(F.col("col").isNull(), F.col("at"))).over(Window.partitionBy(*keys))
+    kept = F.col("col").isNull() | F.col("_gone").isNull() | (F.col("at") > F.col("_gone"))
+    return last.withColumn("_gone", deleted_at).where(kept).drop("_gone")
+
+
+def live_cells(
+    all_cells: DataFrame, resets: DataFrame | None = None, keys: Sequence[str] = ROW_KEYS
+) -> DataFrame:
     """Cells written after their row's last delete and their table's last reset."""
-    last = latest_cells(all_cells)
-    row = Window.partitionBy("sink_table", "row_key")
-    deleted_at = F.max(F.when(F.col("col").isNull(), F.col("at"))).over(row)
-    live = (
-        last.withColumn("_gone", deleted_at)
-        .where(F.col("col").isNotNull())
-        .where(F.col("_gone").isNull() | (F.col("at") > F.col("_gone")))
-        .drop("_gone")
-    )
+    live = covered_dropped(latest_cells(all_cells, keys), keys).where(F.col("col").isNotNull())
     if resets is None:
         return live
     return (

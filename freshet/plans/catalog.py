@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from freshet.functions import times
 from freshet.functions.text import register_kw_split
-from freshet.operators import dimension, log_split, pattern, routing, visits
+from freshet.operators import dimension, log_split, pattern, routing, rule_log, visits
 from freshet.operators.joins import interval_join
 from freshet.operators.ordered import number_chunk
 from freshet.plans import facts, summaries
-from freshet.sources import tables
+from freshet.schemas import DIM_RULE, FACT_RULE
+from freshet.sources import snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -248,13 +249,54 @@ def dim_routing(spark, sf_dir):
 
 
 def dim_upsert(spark, sf_dir):
-    """All dimensions folded from one log; the most changed one as a table."""
+    """The live cells of all five dimension tables, folded from one log."""
     log = tables.profile_changes(tables.read_table(spark, sf_dir, "events")).unionByName(
         tables.dimension_log(spark, sf_dir), allowMissingColumns=True
     )
     routed = routing.route_dimensions(log, tables.dimension_rules(spark), tables.DATABASE)
     live = dimension.live_cells(dimension.cells(routed, ["ts", "seq"]))
-    return dimension.dimension_table(live, "dim_user_profile", ["id", "last_k", "last_type"])
+    return live.select("sink_table", "row_key", "col", "value")
+
+
+def rule_changes_of(spark, sf_dir, kind):
+    """All versions of the test tables' rules of one kind, the early ones among them."""
+    lines = tables.rule_events(tables.read_table(spark, sf_dir, "nation")).where(F.col("feed") == kind)
+    schema, early = (
+        (DIM_RULE, tables.early_rules) if kind == "dim" else (FACT_RULE, tables.early_fact_rules)
+    )
+    changes = snapshots.rule_changes(lines.select("value", F.lit(None).cast("bigint").alias("seq")), schema)
+    return changes.unionByName(rule_log.as_changes(early(spark)))
+
+
+def routed_columns(rows):
+    """What the rule-change queries show of a routed row."""
+    data = F.col("data")
+    op_type = F.col("op_type") if "op_type" in rows.columns else F.lit(None).cast("string").alias("op_type")
+    return rows.select("seq", "sink_table", op_type, *[data[n].alias(n) for n in ("id", "k", "kind", "unlisted")])
+
+
+def rules_change(spark, sf_dir):
+    """Every change row under the rules of its moment, dimensions and facts."""
+    changes = tables.ruled_changes(tables.read_table(spark, sf_dir, "events"))
+    dims = rule_log.rule_log(rule_changes_of(spark, sf_dir, "dim"), rule_log.DIM_KEYS)
+    facts_ = rule_log.rule_log(rule_changes_of(spark, sf_dir, "fact"), rule_log.FACT_KEYS)
+    return routed_columns(rule_log.route_dimensions_at(changes, dims, tables.DATABASE)).unionByName(
+        routed_columns(rule_log.route_facts_at(changes, facts_, tables.DATABASE))
+    )
+
+
+def dim_lifecycle(spark, sf_dir):
+    """Live cells of dimension tables that are created, emptied, moved and dropped on the way."""
+    known = rule_changes_of(spark, sf_dir, "dim")
+    changes = tables.ruled_changes(tables.read_table(spark, sf_dir, "events"))
+    routed = rule_log.route_dimensions_at(
+        changes, rule_log.rule_log(known, rule_log.DIM_KEYS), tables.DATABASE
+    )
+    lives = rule_log.generations(known)
+    keys = ("sink_table", "generation", "row_key")
+    written = dimension.cells(rule_log.with_generation(routed, lives), ["ts", "seq"], keys)
+    live = dimension.live_cells(rule_log.of_living_tables(written, lives), None, keys)
+    return live.select("sink_table", "row_key", "col", "value")
 
 
 def fact_routing(spark, sf_dir):
@@ -345,6 +387,8 @@ QUERIES: dict[str, Query] = {
         dim_routing,
         dim_upsert,
         fact_routing,
+        rules_change,
+        dim_lifecycle,
         arrival_day_changes,
         event_time_texts,
     )

@@ -135,6 +135,54 @@ CART = f"""
     WHERE event_type = 'click' OR (event_type = 'purchase' AND floor(value) > {K})
 """
 
+# Rules that change: every version with the time it holds from and until, and the rows it routes.
+RULED = f"""
+    numbered AS (
+        SELECT n_nationkey AS n, n_nationkey % 5 AS i, n_nationkey // 5 AS j,
+               ['click', 'error', 'purchase', 'signup', 'view'][n_nationkey % 5 + 1] AS kind,
+               ['c', 'u', 'd', 'c', 'u'][n_nationkey // 5 + 1] AS op,
+               1704067200000 + CAST(n_nationkey + 1 AS BIGINT) * 86400000 AS since
+        FROM nation),
+    rules AS (
+        SELECT n, kind, op, since,
+               CASE WHEN j = 4 THEN 'dim_' || kind || '_again' ELSE 'dim_' || kind END AS before_sink,
+               CASE WHEN j <= 2 THEN 'dim_' || kind WHEN j = 4 AND i < 2 THEN 'dim_shared'
+                    ELSE 'dim_' || kind || '_again' END AS sink_table,
+               [['id', 'k'], ['id', 'k', 'kind'], ['id'], ['id', 'kind'], ['id', 'k']][j + 1] AS listed
+        FROM numbered
+        UNION ALL
+        SELECT -1, kind, 'r', CAST(-9000000000000 AS BIGINT), NULL, 'dim_' || kind, ['id']
+        FROM (VALUES ('click'), ('error')) AS e(kind)),
+    versions AS (
+        SELECT *, coalesce(lead(since) OVER (PARTITION BY kind ORDER BY since, n), 9000000000000) AS till FROM rules),
+    fact_steps AS (
+        SELECT n, kind, op, since, i, j FROM numbered WHERE op <> 'd'
+        UNION ALL
+        SELECT n - 0.5, kind, 'd', since, i, j - 1 FROM numbered WHERE op <> 'c'),
+    fact_rules AS (
+        SELECT n, kind, op, since, CASE WHEN (5 * j + i) % 2 = 0 THEN 'insert' ELSE 'update' END AS type,
+               'dwd_' || kind || '_' || j AS sink_table,
+               CASE WHEN j % 2 = 0 THEN ['id', 'k'] ELSE ['id', 'kind'] END AS listed
+        FROM fact_steps
+        UNION ALL
+        SELECT -1, 'view', 'r', CAST(-9000000000000 AS BIGINT), 'insert', 'dwd_view_early', ['id']),
+    fact_versions AS (
+        SELECT *, coalesce(lead(since) OVER (PARTITION BY kind, type ORDER BY since, n), 9000000000000) AS till
+        FROM fact_rules),
+    moved AS (
+        SELECT event_id, user_id, event_type, epoch_us(ts) // 1000000 AS s, {K} AS k0,
+               CASE WHEN {K} >= 10 THEN {K} END AS k,
+               CASE WHEN {K} % 10 = 0 THEN 'delete' WHEN {K} % 3 = 0 THEN 'update' ELSE 'insert' END AS op
+        FROM events),
+    routed AS (
+        SELECT m.*, v.sink_table, v.listed FROM moved m JOIN versions v
+          ON v.kind = m.event_type AND v.op <> 'd' AND m.s * 1000 >= v.since AND m.s * 1000 < v.till),
+    fact_routed AS (
+        SELECT m.*, v.sink_table, v.listed FROM moved m JOIN fact_versions v
+          ON v.kind = m.event_type AND v.type = m.op AND v.op <> 'd'
+         AND m.s * 1000 >= v.since AND m.s * 1000 < v.till)
+"""
+
 WORDS = "list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+|[一-鿿]'))"
 
 
@@ -394,11 +442,75 @@ ORACLE_SQL: dict[str, str] = {
                        OVER (PARTITION BY user_id) AS gone
             FROM events),
         live AS (SELECT *, s * 1000000000 + event_id AS pos FROM c
-                 WHERE gone IS NULL OR s * 1000000000 + event_id > gone)
-        SELECT {_text('user_id')} AS row_key, {_text('user_id')} AS id,
-               CAST(max_by(k, pos) FILTER (WHERE k >= 10) AS VARCHAR) AS last_k,
-               max_by(kind, pos) AS last_type
-        FROM live GROUP BY user_id
+                 WHERE gone IS NULL OR s * 1000000000 + event_id > gone),
+        profile AS (
+            SELECT {_text('user_id')} AS row_key,
+                   [('id', {_text('user_id')}),
+                    ('last_k', CAST(max_by(k, pos) FILTER (WHERE k >= 10) AS VARCHAR)),
+                    ('last_type', max_by(kind, pos))] AS cells
+            FROM live GROUP BY user_id),
+        r AS (
+            SELECT 'dim_user_profile' AS sink_table, row_key, cells FROM profile
+            UNION ALL
+            SELECT 'dim_user_info', {_text('c_custkey')},
+                   [('id', {_text('c_custkey')}), ('name', c_name), ('segment', c_mktsegment)]
+            FROM customer
+            UNION ALL
+            SELECT 'dim_sku_info', {_text('p_partkey')},
+                   [('id', {_text('p_partkey')}), ('name', p_name), ('brand', p_brand)]
+            FROM part WHERE p_size % 10 <> 0
+            UNION ALL
+            SELECT 'dim_supplier_info', {_text('s_suppkey')},
+                   [('id', {_text('s_suppkey')}), ('name', s_name)]
+            FROM supplier
+            UNION ALL
+            SELECT 'dim_base_province', {_text('n_nationkey')},
+                   [('id', {_text('n_nationkey')}), ('name', n_name),
+                    ('region_id', {_text('n_regionkey')})]
+            FROM nation),
+        e AS (SELECT sink_table, row_key, unnest(cells) AS c FROM r)
+        SELECT sink_table, row_key, c[1] AS col, c[2] AS value FROM e WHERE c[2] IS NOT NULL
+    """,
+    "rules_change": f"""
+        WITH {RULED}
+        SELECT event_id AS seq, sink_table, op AS op_type, {_text('user_id')} AS id,
+               CASE WHEN list_contains(listed, 'k') THEN {_text('k')} END AS k,
+               CASE WHEN list_contains(listed, 'kind') THEN event_type END AS kind,
+               CAST(NULL AS VARCHAR) AS unlisted
+        FROM routed
+        UNION ALL
+        SELECT event_id, sink_table, NULL, {_text('user_id')},
+               CASE WHEN list_contains(listed, 'k') THEN {_text('k')} END,
+               CASE WHEN list_contains(listed, 'kind') THEN event_type END, NULL
+        FROM fact_routed
+    """,
+    "dim_lifecycle": f"""
+        WITH {RULED},
+        steps AS (
+            SELECT sink_table AS t, n, op, since FROM rules WHERE n >= 0
+            UNION ALL
+            SELECT before_sink, n - 0.5, 'd', since FROM rules WHERE op = 'u' AND before_sink <> sink_table),
+        lives AS (
+            SELECT t, count(*) FILTER (WHERE op IN ('d', 'u')) AS now, max_by(op, n) <> 'd' AS present
+            FROM steps GROUP BY t),
+        placed AS (
+            SELECT r.*, (SELECT count(*) FROM steps
+                         WHERE t = r.sink_table AND steps.op IN ('d', 'u') AND steps.since <= r.s * 1000) AS gen
+            FROM routed r),
+        alive AS (
+            SELECT p.*, s * 1000000000 + event_id AS pos,
+                   max(CASE WHEN op = 'delete' THEN s * 1000000000 + event_id END)
+                       OVER (PARTITION BY sink_table, user_id) AS gone
+            FROM placed p LEFT JOIN lives ON t = sink_table
+            WHERE t IS NULL OR (present AND gen = now)),
+        written AS (
+            SELECT sink_table, user_id, pos, unnest([
+                       ('id', {_text('user_id')}),
+                       ('k', CASE WHEN list_contains(listed, 'k') THEN {_text('k')} END),
+                       ('kind', CASE WHEN list_contains(listed, 'kind') THEN event_type END)]) AS c
+            FROM alive WHERE op <> 'delete' AND (gone IS NULL OR pos > gone))
+        SELECT sink_table, {_text('user_id')} AS row_key, c[1] AS col, max_by(c[2], pos) AS value
+        FROM written WHERE c[2] IS NOT NULL GROUP BY sink_table, user_id, c[1]
     """,
     "fact_routing": f"""
         SELECT CASE event_type WHEN 'purchase' THEN 'dwd_tool_coupon_get'
@@ -440,6 +552,8 @@ for _name in (
     "coupon_abuse_1h",
     "log_fan_out",
     "dim_upsert",
+    "rules_change",
+    "dim_lifecycle",
 ):
     ORACLE_SQL[f"stream_{_name}"] = ORACLE_SQL[_name]
 

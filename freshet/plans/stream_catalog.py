@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.times import DATETIME
-from freshet.operators import dimension, log_split, routing
+from freshet.operators import log_split, routing, rule_log
 from freshet.operators.joins import interval_join
 from freshet.plans import facts, summaries
-from freshet.plans.catalog import Query
+from freshet.plans.catalog import Query, routed_columns
 from freshet.sources import tables
 from freshet.sources.logs import SUMMARY_DELAY, watermarked
-from freshet.streaming import sinks, stateful
+from freshet.streaming import ruled, sinks, stateful
 from freshet.streaming.replay import CLOSING_TIME, replay
 
 
@@ -153,16 +153,62 @@ def stream_dim_upsert(spark, sf_dir):
         rules = tables.dimension_rules(changes.sparkSession)
         return routing.route_dimensions(changes, rules, tables.DATABASE)
 
+    def job(events, others):
+        others = others.drop("ts").withColumnRenamed("at_s", "ts").withColumn("seq", F.lit(None).cast("bigint"))
+        return tables.profile_changes(events).unionByName(others)
+
+    others = tables.dimension_log(spark, sf_dir).withColumnRenamed("ts", "at_s")
     out = replay(
         spark,
         "dim_upsert",
         _events_path(sf_dir),
         [],
-        tables.profile_changes,
+        job,
         writer=lambda path: sinks.after(route, sinks.to_dimension_cells(path, ["ts", "seq"])),
+        beside={"others": others.withColumn("ts", F.col("et").cast("timestamp_ntz"))},
+    )
+    return sinks.read_dimension_cells(spark, out).select("sink_table", "row_key", "col", "value")
+
+
+def _ruled_feed(events: DataFrame, rules: DataFrame, kind: str) -> DataFrame:
+    """Change rows and rule changes as the lines their topics would bring."""
+    lines = tables.ruled_changes(events).drop("et")
+    value = F.to_json(F.struct("database", "table", "type", "data", "old", "ts"))
+    return ruled.fed(lines.select(value.alias("value"), "seq"), rules.where(F.col("feed") == kind).select("value"))
+
+
+def _ruled_replay(spark, sf_dir, kind, early, writer):
+    """A routing job with rules that change in mid-stream: four slices of events, each with its rule changes."""
+    wanted = ruled.DIMENSIONS if kind == "dim" else ruled.FACTS
+    return replay(
+        spark,
+        f"rules_{kind}",
+        _events_path(sf_dir),
+        [],
+        lambda events, rules: _ruled_feed(events, rules, kind),
+        writer=lambda path: ruled.by_rules_in_force(
+            wanted, path, lambda: early(spark), tables.DATABASE, writer(f"{path}/rows")
+        ),
+        batches=4,
+        beside={"rules": tables.rule_events(tables.read_table(spark, sf_dir, "nation"))},
+    )
+
+
+def stream_rules_change(spark, sf_dir):
+    dims, facts_ = (
+        spark.read.parquet(f"{_ruled_replay(spark, sf_dir, kind, early, sinks.to_parquet)}/rows")
+        for kind, early in (("dim", tables.early_rules), ("fact", tables.early_fact_rules))
+    )
+    return routed_columns(dims).unionByName(routed_columns(facts_))
+
+
+def stream_dim_lifecycle(spark, sf_dir):
+    out = _ruled_replay(
+        spark, sf_dir, "dim", tables.early_rules, lambda path: sinks.to_dimension_cells(path, ["ts", "seq"], fan_in=2)
     )
-    live = sinks.read_dimension_cells(spark, out)
-    return dimension.dimension_table(live, "dim_user_profile", ["id", "last_k", "last_type"])
+    lives = rule_log.generations(ruled.rules_of(spark, out))
+    live = sinks.read_dimension_cells(spark, f"{out}/rows", tables=lives)
+    return live.select("sink_table", "row_key", "col", "value")
 
 
 STREAM_QUERIES: dict[str, Query] = {
@@ -176,5 +222,7 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_coupon_abuse_1h,
         stream_log_fan_out,
         stream_dim_upsert,
+        stream_rules_change,
+        stream_dim_lifecycle,
     )
 }

@@ -30,13 +30,17 @@ def read_options(
     }
 
 
-def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """The topic's values as text; null values (tombstones) are left out."""
+def read_topic(spark: SparkSession, options: dict[str, str], numbered: bool = False) -> DataFrame:
+    """The topic's values as text; null values (tombstones) are left out.
+
+    ``numbered`` adds the offset as ``seq``, the order of a key's rows on equal times.
+    """
+    number = [F.col("offset").alias("seq")] if numbered else []
     return (
         spark.readStream.format("kafka")
         .options(**options)
         .load()
-        .select(F.col("value").cast("string").alias("value"))
+        .select(F.col("value").cast("string").alias("value"), *number)
         .where(F.col("value").isNotNull())
     )
 

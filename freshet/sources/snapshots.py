@@ -41,23 +41,24 @@ def read_snapshot(spark: SparkSession, options: dict[str, str], rename: bool = F
 def rule_changes(lines: DataFrame, rule: T.StructType) -> DataFrame:
     """Captured changes of a rule table.
 
-    The row is the one before a delete and the one after any other change;
-    ``old_sink_table`` is the target named before it.  Columns beside
-    ``value``, such as an offset, are carried.
+    The row is the one before a delete and the one after any other change; the columns before it have ``old_`` in
+    front.  ``ts_ms`` is the time of the change.  Columns beside ``value``, such as an offset, are carried.
     """
     event = T.StructType(
         [
             T.StructField("op", T.StringType()),
             T.StructField("before", rule),
             T.StructField("after", rule),
+            T.StructField("ts_ms", T.LongType()),
         ]
     )
     carried = [name for name in lines.columns if name != "value"]
     rows = parse(lines, event).where(F.col("op").isNotNull())
     row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    return rows.select(
-        *carried, "op", row.alias("_row"), F.col("before.sink_table").alias("old_sink_table")
-    ).select(*carried, "op", "old_sink_table", "_row.*")
+    old = [F.col(f"before.{name}").alias(f"old_{name}") for name in rule.names]
+    return rows.select(*carried, "op", "ts_ms", row.alias("_row"), *old).select(
+        *carried, "op", "ts_ms", *[f"old_{name}" for name in rule.names], "_row.*"
+    )
 
 
 def dictionary(entries: DataFrame, code: str, name: str) -> DataFrame:

@@ -438,6 +438,79 @@ def dimension_rules(spark: SparkSession) -> DataFrame:
     )
 
 
+KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+def rule_events(nation: DataFrame) -> DataFrame:
+    """Twenty-five changes of the rules for five source tables, one a day, as captured lines of both rule tables.
+
+    Each source table's rule is created, changed (which empties its target), removed, created for a new target, and
+    changed again, which moves two of them to one shared target.  Columns: ``feed``, ``value``, ``ts``.
+    """
+    number = F.col("n_nationkey")
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (number % 5 + 1).cast("int"))
+    step = F.floor(number / 5)
+    op = F.when(step.isin(0, 3), "c").when(step == 2, "d").otherwise("u")
+    first, again = F.concat(F.lit("dim_"), kind), F.concat(F.lit("dim_"), kind, F.lit("_again"))
+    shared = F.when(number % 5 < 2, F.lit("dim_shared")).otherwise(again)
+    listed = F.when(step == 1, "id,k,kind").when(step == 3, "id,kind").otherwise("id,k")
+    common = [F.concat(F.lit("t_"), kind).alias("source_table")]
+    fixed = [F.lit("info").alias("sink_family"), F.lit("id").alias("sink_row_key")]
+
+    def dim(target, columns):
+        return F.struct(*common, target.alias("sink_table"), columns.alias("sink_columns"), *fixed)
+
+    def fact(at):
+        kind_of_row = F.when((at * 5 + number % 5) % 2 == 0, "insert").otherwise("update")  # moves with every step
+        target = F.concat(F.lit("dwd_"), kind, F.lit("_"), at)
+        own = F.when(at % 2 == 0, "id,k").otherwise("id,kind")
+        return F.struct(*common, kind_of_row.alias("source_type"), target.alias("sink_table"), own.alias("sink_columns"))
+
+    dim_before = dim(F.when(step == 4, again).otherwise(first), F.lit("id"))
+    dim_after = dim(F.when(step < 2, first).when(step == 3, again).otherwise(shared), listed)
+    ts = F.timestamp_seconds(F.lit(1_704_067_200) + (number + 1) * 86_400)
+    millis = F.unix_millis(ts).alias("ts_ms")
+
+    def line(before, after):
+        old = F.when(op != "c", before).alias("before")
+        return F.to_json(F.struct(op.alias("op"), old, F.when(op != "d", after).alias("after"), millis))
+
+    lines = F.array(
+        F.struct(F.lit("dim").alias("feed"), line(dim_before, dim_after).alias("value")),
+        F.struct(F.lit("fact").alias("feed"), line(fact(step - 1), fact(step)).alias("value")),
+    )
+    return nation.select(F.explode(lines).alias("_l"), ts.alias("ts")).select("_l.*", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+def early_rules(spark: SparkSession) -> DataFrame:
+    """The rule table before its first captured change: two source tables have a rule."""
+    rules = [(f"t_{kind}", f"dim_{kind}", "id", "info", "id") for kind in KINDS[:2]]
+    return _rows(spark, rules, DIM_RULE)
+
+
+def early_fact_rules(spark: SparkSession) -> DataFrame:
+    return _rows(spark, [("t_view", "insert", "dwd_view_early", "id")], FACT_RULE)
+
+
+def ruled_changes(events: DataFrame) -> DataFrame:
+    """Events as changes of five source tables, deletes and null columns among them."""
+    events = events.withColumn("_k", event_number())
+    number = F.col("_k")
+    return change_rows(
+        events,
+        F.concat(F.lit("t_"), F.col("event_type")),
+        F.when(number % 10 == 0, "delete").when(number % 3 == 0, "update").otherwise("insert"),
+        {
+            "id": "user_id",
+            "k": F.when(number >= 10, number),
+            "kind": "event_type",
+            "unlisted": F.lit("x"),
+        },
+        seconds_of("ts"),
+        seq=F.col("event_id"),
+    )
+
+
 def fact_changes_of_events(events: DataFrame) -> DataFrame:
     """Events as inserts and updates of the tables that need no join."""
     kind = F.col("event_type")

@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.functions.times import datetime_to_timestamp, from_seconds
-from freshet.operators import log_split, routing
+from freshet.operators import log_split
 from freshet.plans import facts, summaries
 from freshet.sources import kafka, logs
 from freshet.sources.jsonlines import parse
-from freshet.streaming import sinks, stateful
+from freshet.streaming import ruled, sinks, stateful
 from freshet.streaming.replay import use_rocksdb
 
 Lines = Callable[[str], DataFrame]
@@ -36,11 +36,16 @@ CART_ADD = "dwd_trade_cart_add"
 USER_REGISTER = "dwd_user_register"
 SHOP_EVENTS = "ecommerce-events"
 METRIC_EVENTS = "metric-events"
+DIM_RULES = "table_process_dim"
+FACT_RULES = "table_process_dwd"
 
 
 @dataclass(frozen=True)
 class Context:
-    """What a job may look up; each call reads it afresh."""
+    """What a job may look up; each call reads it afresh.
+
+    ``rules`` is the rule table as it stood before the rule topic begins.
+    """
 
     dictionary: Snapshot | None = None
     rules: Snapshot | None = None
@@ -56,6 +61,8 @@ class Job:
     topic: str | None = None
     key: tuple[str, ...] = ()
     start_from: str = "latest"
+    # The kind of rules that route the job's micro-batches, if any.
+    ruled: ruled.Kind | None = None
 
 
 def _changes(lines: Lines) -> DataFrame:
@@ -78,14 +85,13 @@ def base_log(lines: Lines, context: Context) -> DataFrame:
 
 
 def base_db(lines: Lines, context: Context) -> DataFrame:
-    routed = routing.route_facts(_changes(lines), context.rules(), context.database)
-    return routed.select(F.col("sink_table").alias("topic"), F.to_json("data").alias("value"))
+    """Change rows and rule changes; ``writer_of`` routes them batch by batch."""
+    return ruled.fed(lines(BUSINESS_DB), lines(FACT_RULES))
 
 
 def dimensions(lines: Lines, context: Context) -> DataFrame:
-    """Routed with the rules in force when the job starts; ``sinks.after`` can
-    route each batch with the rules of its moment instead."""
-    return routing.route_dimensions(_changes(lines), context.rules(), context.database)
+    """Change rows and rule changes; ``writer_of`` routes them batch by batch."""
+    return ruled.fed(lines(BUSINESS_DB), lines(DIM_RULES))
 
 
 def order_detail(lines: Lines, context: Context) -> DataFrame:
@@ -171,8 +177,8 @@ def login_counts(lines: Lines, context: Context) -> DataFrame:
 
 JOBS: dict[str, Job] = {
     "dwd_base_log": Job(base_log, topic="topic"),
-    "dwd_base_db": Job(base_db, topic="topic"),
-    "dim_app": Job(dimensions),
+    "dwd_base_db": Job(base_db, topic="topic", ruled=ruled.FACTS),
+    "dim_app": Job(dimensions, ruled=ruled.DIMENSIONS),
     ORDER_DETAIL: Job(order_detail, ORDER_DETAIL, key=("id",)),
     "dwd_trade_order_cancel": Job(order_cancel, "dwd_trade_order_cancel"),
     PAYMENT_SUCCESS: Job(payment_success, PAYMENT_SUCCESS),
@@ -198,11 +204,23 @@ JOBS: dict[str, Job] = {
 def messages(name: str, rows: DataFrame) -> DataFrame:
     """A job's rows as Kafka messages; a ``topic`` column decides where there is one."""
     job = JOBS[name]
+    if job.ruled is ruled.FACTS:
+        return rows.select(F.col("sink_table").alias("topic"), F.to_json("data").alias("value"))
     if job.topic == "topic":
         return rows.select("topic", "value")
     return sinks.as_messages(rows, key=job.key)
 
 
+def writer_of(name: str, folder: str, context: Context, writer: sinks.BatchWriter) -> sinks.BatchWriter:
+    """``writer`` behind what the job does to each micro-batch: routing by the rules in force, and making messages."""
+    job = JOBS[name]
+    if job.topic is not None:
+        writer = sinks.after(lambda rows: messages(name, rows), writer)
+    if job.ruled is None:
+        return writer
+    return ruled.by_rules_in_force(job.ruled, folder, context.rules, context.database, writer)
+
+
 def start(
     spark: SparkSession,
     name: str,
@@ -216,24 +234,27 @@ def start(
     job = JOBS[name]
 
     def lines(topic: str) -> DataFrame:
-        return kafka.read_topic(spark, kafka.read_options(servers, topic, name, job.start_from))
+        # a rule change counts from its time on, however long ago, so its topic is read from the start
+        begin = "earliest" if topic in (DIM_RULES, FACT_RULES) else job.start_from
+        options = kafka.read_options(servers, topic, name, begin)
+        return kafka.read_topic(spark, options, numbered=job.ruled is not None)
 
     rows = job.build(lines, context)
     state = f"{folder}/state"
-    if name == "dim_app":
-        return sinks.start(
-            rows, state, sinks.to_dimension_cells(f"{folder}/rows", ["ts"]), available_now=False
-        )
-    if job.topic is None:
-        return sinks.start(
-            rows, state, sinks.to_json_lines(f"{folder}/rows"), available_now=False
-        )
     target = None if job.topic == "topic" else job.topic
-    return (
-        messages(name, rows)
-        .writeStream.format("kafka")
-        .options(**sinks.kafka_options(servers, target))
-        .option("checkpointLocation", state)
-        .trigger(processingTime="5 seconds")
-        .start()
-    )
+    if job.topic is not None and job.ruled is None:
+        return (
+            messages(name, rows)
+            .writeStream.format("kafka")
+            .options(**sinks.kafka_options(servers, target))
+            .option("checkpointLocation", state)
+            .trigger(processingTime="5 seconds")
+            .start()
+        )
+    if name == "dim_app":
+        writer = sinks.to_dimension_cells(f"{folder}/rows", ["ts", "seq"])
+    elif job.topic is None:
+        writer = sinks.to_json_lines(f"{folder}/rows")
+    else:
+        writer = sinks.to_kafka(sinks.kafka_options(servers, target))
+    return sinks.start(rows, state, writer_of(name, folder, context, writer), available_now=False)

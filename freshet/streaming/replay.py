@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.session import ROCKSDB_PROVIDER, run_dir
 from freshet.streaming import sinks
@@ -36,17 +37,23 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def _time_slices(rows: DataFrame, time: str, slices: int) -> list[DataFrame]:
-    """``rows`` cut by event time into about equal slices, earliest first; equal times stay together."""
+def _time_slices(rows: DataFrame, time: str, slices: int) -> list[Callable[[Column], Column]]:
+    """Conditions that cut rows by event time into about equal slices of ``rows``, earliest first.
+
+    Equal times stay together; rows without a time are in the first slice.
+    """
     shares = [k / slices for k in range(1, slices)]
-    cuts = rows.agg(F.percentile_approx(time, shares)).first()[0] or []
-    at = F.col(time)
-    found, below = [], None
-    for cut in sorted(set(cuts)):
-        inside = at <= F.lit(cut)
-        found.append(rows.where(at.isNull() | inside if below is None else (at > F.lit(below)) & inside))
-        below = cut
-    return [*found, rows if below is None else rows.where(at > F.lit(below))]
+    cuts = sorted(set(rows.agg(F.percentile_approx(time, shares)).first()[0] or [])) if shares else []
+    edges = [None, *cuts, None]
+
+    def between(low, high):
+        def holds(at: Column) -> Column:
+            inside = F.lit(True) if high is None else at <= F.lit(high)
+            return F.coalesce(inside if low is None else (at > F.lit(low)) & inside, F.lit(low is None))
+
+        return holds
+
+    return [between(low, high) for low, high in zip(edges, edges[1:], strict=False)]
 
 
 def replay(
@@ -54,12 +61,14 @@ def replay(
     name: str,
     path: str,
     closing: list[dict],
-    job: Callable[[DataFrame], DataFrame],
+    job: Callable[..., DataFrame],
     *,
     writer: Callable[[str], sinks.BatchWriter] = sinks.to_parquet,
     files_per_batch: int = 64,
     time: str = "ts",
     state_partitions: int | None = None,
+    batches: int | None = None,
+    beside: Mapping[str, DataFrame] | None = None,
 ) -> str:
     """Streams the parquet table at ``path`` through ``job``; returns the output path.
 
@@ -68,6 +77,9 @@ def replay(
     other, so how rows are spread over files does not change what is late.  Then the
     ``closing`` rows arrive and the query goes on from its checkpoint, which closes
     the last windows.  A checkpoint keeps its number of ``state_partitions``.
+
+    ``batches`` asks for so many slices whatever the number of files.  Each table of ``beside`` becomes a stream that
+    ``job`` takes by its name; its rows arrive with the slice that holds their ``time``.
     """
     use_rocksdb(spark)
     table = spark.read.parquet(path)
@@ -75,28 +87,30 @@ def replay(
     folder = run_dir(spark, name)
     late = f"{folder}/closing"
     spark.createDataFrame([], schema).write.parquet(late)
-    batches = -(-len(table.inputFiles()) // files_per_batch)
+    beside = dict(beside or {})
+    batches = batches or -(-len(table.inputFiles()) // files_per_batch)
     fed = f"{folder}/fed" if batches > 1 else path
 
-    def source(location: str) -> DataFrame:
-        return spark.readStream.schema(schema).parquet(location)
+    def source(location: str, kind: T.StructType = schema) -> DataFrame:
+        return spark.readStream.schema(kind).parquet(location)
 
     out = f"{folder}/rows"
 
     def run(to_the_end: bool) -> None:
         # A batch without rows only moves the watermark on; the last run does it.
         spark.conf.set(NO_DATA_BATCHES, str(to_the_end).lower())
-        rows = job(source(fed).unionByName(source(late)))
+        more = {name: source(f"{folder}/{name}", rows.schema) for name, rows in beside.items()}
+        rows = job(source(fed).unionByName(source(late)), **more)
         sinks.start(rows, f"{folder}/state", writer(out)).awaitTermination()
 
     with _settings(spark, state_partitions):
-        if batches > 1:
-            slices = _time_slices(table, time, batches)
-            for k, part in enumerate(slices):
-                part.write.mode("append").parquet(fed)
-                run(not closing and k == len(slices) - 1)
-        else:
-            run(not closing)
+        slices = _time_slices(table, time, batches)
+        for k, holds in enumerate(slices):
+            if batches > 1:
+                table.where(holds(F.col(time))).write.mode("append").parquet(fed)
+            for name, rows in beside.items():
+                rows.where(holds(F.col(time))).write.mode("append").parquet(f"{folder}/{name}")
+            run(not closing and k == len(slices) - 1)
         if closing:
             rows = [{field.name: row.get(field.name) for field in schema} for row in closing]
             spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(late)

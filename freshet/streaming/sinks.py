@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.operators import log_split
-from freshet.operators.dimension import cells, latest_cells, live_cells
+from freshet.operators.dimension import cells, covered_dropped, latest_cells, live_cells
+from freshet.operators.rule_log import of_living_tables
 from freshet.sources.snapshots import snake_columns
+from freshet.streaming.run_store import RunStore
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -106,6 +108,15 @@ def to_topics(path: str) -> BatchWriter:
     return write
 
 
+def to_kafka(options: dict[str, str]) -> BatchWriter:
+    """Messages of each batch to the topics; a retry sends them again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format("kafka").options(**options).save()
+
+    return write
+
+
 def split_to_topics(path: str) -> BatchWriter:
     """The behaviour log's five outputs, from one pass over each batch."""
     to_folder = to_topics(path)
@@ -116,30 +127,53 @@ def split_to_topics(path: str) -> BatchWriter:
     return write
 
 
-def to_dimension_cells(path: str, order: Sequence[str]) -> BatchWriter:
-    """Routed change rows into the dimension store, folded once per batch."""
+CELL_KEYS = ("sink_table", "generation", "row_key")
+
+
+def _cell_store(spark: SparkSession, path: str, **options) -> RunStore:
+    return RunStore(spark, path, merged_cells, by=["sink_table"], **options)
+
+
+def merged_cells(all_cells: DataFrame) -> DataFrame:
+    """Cells of several runs put together: the last write of each, without those a later delete of their row covers."""
+    return covered_dropped(latest_cells(all_cells, CELL_KEYS), CELL_KEYS).select(*all_cells.columns)
+
+
+def to_dimension_cells(path: str, order: Sequence[str], **options) -> BatchWriter:
+    """Routed change rows into the dimension store, folded once per batch; see ``RunStore`` for the store.
+
+    Rows without a ``generation`` are of generation 0.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folded = latest_cells(cells(batch, order))
-        folded.write.mode("overwrite").partitionBy("sink_table").parquet(
-            _folder(path, batch_id)
-        )
+        if "generation" not in batch.columns:
+            batch = batch.withColumn("generation", F.lit(0))
+        folded = latest_cells(cells(batch, order, ["sink_table", "generation", "row_key"]), CELL_KEYS)
+        _cell_store(batch.sparkSession, path, **options).append(folded, batch_id)
 
     return write
 
 
 def read_dimension_cells(
-    spark: SparkSession, path: str, resets: DataFrame | None = None
+    spark: SparkSession, path: str, resets: DataFrame | None = None, tables: DataFrame | None = None
 ) -> DataFrame:
-    """The dimension store's live cells; deletes and resets are applied on read."""
-    stored = spark.read.parquet(path).select("sink_table", "row_key", "col", "value", "at")
-    return live_cells(stored, resets)
+    """The dimension store's live cells; deletes and resets are applied on read.
+
+    With ``tables`` (see ``rule_log.generations``) only cells of each table's newest generation live.
+    """
+    stored = _cell_store(spark, path).read()
+    if stored is None:
+        stored = spark.createDataFrame([], "sink_table string, generation int, row_key string, col string, value string, at struct<ts:bigint>")
+    if tables is not None:
+        stored = of_living_tables(stored, tables)
+    return live_cells(stored, resets, CELL_KEYS).drop("generation")
 
 
 def compact_dimension_cells(spark: SparkSession, path: str, into: str) -> None:
-    """The store folded to one entry per cell, in a new folder to go on from."""
-    stored = spark.read.parquet(path).select("sink_table", "row_key", "col", "value", "at")
-    latest_cells(stored).write.partitionBy("sink_table").parquet(_folder(into, 0))
+    """The store folded to one entry per cell, as the first run of a new store to go on from."""
+    stored = _cell_store(spark, path).read()
+    if stored is not None:
+        _cell_store(spark, into).append(merged_cells(stored), 0)
 
 
 def start(

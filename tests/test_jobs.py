@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from freshet.operators import dimension, routing
+from freshet.operators import dimension, routing, rule_log
 from freshet.schemas import DIM_RULE, FACT_RULE
-from freshet.streaming import jobs, sinks
+from freshet.streaming import jobs, ruled, sinks
 from test_facts import CHANGES, NAMES
 from test_log_split import D1, DAY
 
@@ -32,10 +32,10 @@ class Folders:
 
     def run(self, name, writer, context=jobs.Context()):
         rows_ = jobs.JOBS[name].build(self.lines, context)
-        if jobs.JOBS[name].topic:
-            rows_ = jobs.messages(name, rows_)
-        state = str(self.root / "_state" / name)
-        sinks.start(rows_, state, writer).awaitTermination()
+        folder = str(self.root / "_jobs" / name)
+        writer = jobs.writer_of(name, folder, context, writer)
+        sinks.start(rows_, f"{folder}/state", writer).awaitTermination()
+        return folder
 
 
 def visit(mid, flag, ts, **more):
@@ -145,6 +145,47 @@ def test_rules_are_read_anew_for_each_batch(spark, tmp_path):
     assert {r.row_key: r.info for r in dimension.dimension_rows(again).collect()} == info
 
 
+def captured(op, ts_ms, before=None, after=None):
+    return {"op": op, "before": before, "after": after, "ts_ms": ts_ms}
+
+
+def test_rules_change_while_the_dimension_job_runs(spark, tmp_path):
+    """Rules are created, moved and dropped between batches; rows follow the rule of their own time."""
+    home = Folders(spark, tmp_path)
+    store = str(tmp_path / "dims")
+    writer = sinks.to_dimension_cells(store, ["ts", "seq"], fan_in=2)
+    early = spark.createDataFrame([("user_info", "dim_user", "id", "info", "id")], DIM_RULE)
+    context = jobs.Context(rules=lambda: early, database="shop")
+
+    def rule(table, target, columns):
+        return {"source_table": table, "sink_table": target, "sink_columns": columns,
+                "sink_family": "info", "sink_row_key": "id"}
+
+    def row(table, id_, ts):
+        return {"database": "shop", "table": table, "type": "insert", "data": {"id": id_, "name": "n"}, "ts": ts}
+
+    def batch(number, rules, data):
+        home.put(jobs.DIM_RULES, str(number), rules)
+        home.put(jobs.BUSINESS_DB, str(number), data)
+        return home.run("dim_app", writer, context)
+
+    batch(0, [captured("c", 5000, after=rule("sku_info", "dim_sku", "id,name")), "broken {"],
+          [row("user_info", "1", 1), row("sku_info", "a", 4), row("sku_info", "b", 5), "{"])
+    folder = batch(1, [captured("u", 10000, rule("user_info", "dim_user", "id"), rule("user_info", "dim_person", "id,name")),
+                       captured("d", 20000, rule("sku_info", "dim_sku", "id,name"))],
+                   [row("user_info", "2", 9), row("user_info", "3", 10), row("sku_info", "c", 19), row("sku_info", "d", 20)])
+    folder = batch(2, [captured("c", 30000, after=rule("sku_info", "dim_sku", "id"))],
+                   [row("sku_info", "e", 30), row("sku_info", "f", 18)])
+    lives = rule_log.generations(ruled.rules_of(spark, folder))
+    got = dimension.dimension_rows(sinks.read_dimension_cells(spark, store, tables=lives)).collect()
+    assert {(r.sink_table, r.row_key): r.info for r in got} == {
+        ("dim_person", "3"): {"id": "3", "name": "n"}, ("dim_sku", "e"): {"id": "e"},
+    }
+    written = sinks.read_dimension_cells(spark, store).select("sink_table", "row_key").distinct()
+    assert rows(written) == [("dim_person", "3"), ("dim_sku", "b"), ("dim_sku", "c"), ("dim_sku", "e"),
+                             ("dim_sku", "f"), ("dim_user", "1"), ("dim_user", "2")]
+
+
 @pytest.mark.parametrize("name", jobs.JOBS)
 def test_every_job_builds_a_stream(spark, tmp_path, name):
     home = Folders(spark, tmp_path)
