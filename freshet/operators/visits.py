@@ -28,7 +28,8 @@ def day_of(ts: Column | str) -> Column:
 def daily_first(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """One row per key and day: ``ts`` of the first hit, ``day``, ``prev_day``.
 
-    On a stream, the rows whose day differs from the key's last one.
+    On a stream, rows are taken in order of event time too, at a grain of five seconds: ``ts`` is then the last instant
+    of the five seconds the first hit is in.
     """
     keys = list(keys)
     if df.isStreaming:

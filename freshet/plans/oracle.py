@@ -209,6 +209,34 @@ def _logins(days: int) -> str:
     )
 
 
+def _pages(log: str, source: str) -> str:
+    """Page views with one session rule: a session's mark lasts an hour, and once per five seconds its earliest row
+    decides; a recursion over these rows follows the marks."""
+    return f"""
+    WITH RECURSIVE {log},
+    p AS (SELECT *, {_window('et', 5)} AS w,
+                 row_number() OVER (PARTITION BY sid, {_window('et', 5)} ORDER BY et, seq) AS place
+          FROM {source} AS l WHERE is_page),
+    m AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY et, seq) AS rn FROM p WHERE place = 1),
+    marks AS (
+        SELECT sid, rn, seq, et AS created, true AS sv FROM m WHERE rn = 1
+        UNION ALL
+        SELECT m.sid, m.rn, m.seq,
+               CASE WHEN m.et - k.created >= INTERVAL 1 HOUR THEN m.et ELSE k.created END,
+               m.et - k.created >= INTERVAL 1 HOUR
+        FROM marks k JOIN m ON m.sid = k.sid AND m.rn = k.rn + 1),
+    flagged AS (
+        SELECT vc, ch, ar, is_new, during_time, w, coalesce(sv, false) AS sv,
+               CAST(et AS DATE) IS DISTINCT FROM
+                   lag(CAST(et AS DATE)) OVER (PARTITION BY mid ORDER BY et, p.seq) AS uv
+        FROM p LEFT JOIN marks USING (seq))
+    SELECT {_labels(5, '%Y%m%d')}, vc, ch, ar, is_new,
+           {_ones('uv')} AS uv_ct, {_ones('sv')} AS sv_ct, count(*) AS pv_ct,
+           CAST(sum(during_time) AS BIGINT) AS dur_sum
+    FROM flagged GROUP BY w, vc, ch, ar, is_new
+    """
+
+
 def _split(columns: str, where: str, source: str = "log") -> str:
     return f"WITH {FIXED_LOG} SELECT {columns} FROM {source} WHERE {where}"
 
@@ -253,19 +281,7 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) FILTER (WHERE page_id = 'home') AS home_uv_ct, "
         "count(*) FILTER (WHERE page_id = 'good_detail') AS good_detail_uv_ct",
     ),
-    "page_multi_dim_5s": f"""
-        WITH {LOG},
-        flagged AS (
-            SELECT vc, ch, ar, is_new0 AS is_new, during_time, {_window('et', 5)} AS w,
-                   CAST(et AS DATE) IS DISTINCT FROM
-                       lag(CAST(et AS DATE)) OVER (PARTITION BY mid ORDER BY et, seq) AS uv,
-                   row_number() OVER (PARTITION BY sid ORDER BY et, seq) = 1 AS sv
-            FROM log0 WHERE is_page)
-        SELECT {_labels(5, '%Y%m%d')}, vc, ch, ar, is_new,
-               {_ones('uv')} AS uv_ct, {_ones('sv')} AS sv_ct, count(*) AS pv_ct,
-               CAST(sum(during_time) AS BIGINT) AS dur_sum
-        FROM flagged GROUP BY w, vc, ch, ar, is_new
-    """,
+    "page_multi_dim_5s": _pages(LOG, "(SELECT *, is_new0 AS is_new FROM log0)"),
     "register_count_5s": f"""
         SELECT {_labels(5)}, count(*) AS register_ct
         FROM (SELECT {_window('ts', 5)} AS w FROM events WHERE event_type = 'signup')
@@ -557,26 +573,5 @@ for _name in (
 ):
     ORACLE_SQL[f"stream_{_name}"] = ORACLE_SQL[_name]
 
-# The streaming path repairs visitors first, and a session's mark lasts an hour,
-# which a recursion over the session's rows follows.
-ORACLE_SQL["stream_page_multi_dim_5s"] = f"""
-    WITH RECURSIVE {FIXED_LOG},
-    p AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY et, seq) AS rn
-          FROM log WHERE is_page),
-    marks AS (
-        SELECT sid, rn, et AS created, true AS sv FROM p WHERE rn = 1
-        UNION ALL
-        SELECT p.sid, p.rn,
-               CASE WHEN p.et - m.created >= INTERVAL 1 HOUR THEN p.et ELSE m.created END,
-               p.et - m.created >= INTERVAL 1 HOUR
-        FROM marks m JOIN p ON p.sid = m.sid AND p.rn = m.rn + 1),
-    flagged AS (
-        SELECT vc, ch, ar, is_new, during_time, {_window('et', 5)} AS w, sv,
-               CAST(et AS DATE) IS DISTINCT FROM
-                   lag(CAST(et AS DATE)) OVER (PARTITION BY mid ORDER BY et, seq) AS uv
-        FROM p JOIN marks USING (sid, rn))
-    SELECT {_labels(5, '%Y%m%d')}, vc, ch, ar, is_new,
-           {_ones('uv')} AS uv_ct, {_ones('sv')} AS sv_ct, count(*) AS pv_ct,
-           CAST(sum(during_time) AS BIGINT) AS dur_sum
-    FROM flagged GROUP BY w, vc, ch, ar, is_new
-"""
+# The streaming path repairs visitors first.
+ORACLE_SQL["stream_page_multi_dim_5s"] = _pages(FIXED_LOG, "log")

@@ -74,7 +74,7 @@ def stream_page_multi_dim_5s(spark, sf_dir):
 
     def job(events):
         fixed = stateful.repair_new_visitors(_stream_pages(events), "et", ["seq"])
-        return summaries.page_views(log_split.pages(fixed), ["et", "seq"])
+        return summaries.page_views(log_split.pages(fixed), ["ts", "seq"])
 
     return spark.read.parquet(
         replay(spark, "page_views", _events_path(sf_dir), _closing("view"), job)

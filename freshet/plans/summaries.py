@@ -91,9 +91,10 @@ PAGE_DIMENSIONS = ["vc", "ch", "ar", "is_new"]
 
 
 def page_facts(pages: DataFrame, order: list[str]) -> DataFrame:
-    """The columns of a page view the page metrics need."""
+    """The columns of a page view the page metrics need; ``micros`` is its time, whatever pane ``et`` is in."""
     common = F.col("common")
     session = F.coalesce(F.col("sid"), common["sid"])
+    micros = F.col("ts").cast("bigint") * 1000 if "ts" in pages.columns else F.unix_micros("et")
     return pages.select(
         common["mid"].alias("mid"),
         session.alias("sid"),
@@ -101,9 +102,35 @@ def page_facts(pages: DataFrame, order: list[str]) -> DataFrame:
         F.col("page")["during_time"].try_cast("bigint").alias("during_time"),
         "et",
         *[name for name in order if name != "et"],
+        micros.alias("micros"),
     )
 
 
+def session_starts(facts: DataFrame, order: list[str], keep: list[str], ttl_seconds: int = 3600) -> DataFrame:
+    """The rows that start a session: ``order``, ``keep`` and ``micros``.
+
+    A session starts with its first row; its mark holds for ``ttl_seconds``, and the first row after that starts it
+    again.  Once per five seconds the session's earliest row decides, so a session is folded over as many rows as it has
+    such panes, and in one pass over them.
+    """
+    pane = F.window("et", "5 seconds").alias("_pane")
+    fields = list(dict.fromkeys([*order, "micros", *keep]))
+    firsts = facts.groupBy("sid", pane).agg(F.min(F.struct(*fields)).alias("_row"))
+    ordered = firsts.groupBy("sid").agg(F.array_sort(F.collect_list("_row")).alias("_rows"))
+    kind = firsts.schema["_row"].dataType.simpleString()
+
+    def step(state, row):
+        starts = state["since"].isNull() | (row["micros"] - state["since"] >= ttl_seconds * 1_000_000)
+        return F.struct(
+            F.when(starts, row["micros"]).otherwise(state["since"]).alias("since"),
+            F.when(starts, F.concat(state["found"], F.array(row))).otherwise(state["found"]).alias("found"),
+        )
+
+    none = F.struct(F.lit(None).cast("bigint").alias("since"), F.array().cast(f"array<{kind}>").alias("found"))
+    found = F.aggregate("_rows", none, step, lambda state: state["found"])
+    return ordered.select(F.explode(found).alias("_row")).select("_row.*")
+
+
 def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
     """Visitors, sessions, views and time spent per version, channel, area and
     visitor kind, per 5 s.
@@ -131,7 +158,7 @@ def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
         facts.withColumn("_day", visits.day_of("et")), ["mid", "_day"], order,
         ["et", *PAGE_DIMENSIONS],
     )
-    by_session = visits.first_rows(facts, ["sid"], order, ["et", *PAGE_DIMENSIONS])
+    by_session = session_starts(facts, order, ["et", *PAGE_DIMENSIONS])
     added = (
         part(facts, none, none, one, F.col("during_time"))
         .unionByName(part(by_day, one, none, none, none))
@@ -151,27 +178,23 @@ def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
 
 
 def _page_views_of_stream(facts: DataFrame, order: list[str]) -> DataFrame:
-    from freshet.streaming.stateful import day_seen, session_starts
-
-    tie = [name for name in order if name != "et"]
-    seen = day_seen(facts, ["mid"], "et", tie, changes_only=False)
-    flagged = session_starts(
-        seen.withColumn("uv", (~F.col("day").eqNullSafe(F.col("prev_day"))).cast("int")).drop(
-            "day", "prev_day"
-        ),
-        "sid",
-        "et",
-        tie,
+    from freshet.streaming.stateful import first_of_day_and_session
+
+    plain = facts.withColumn("_time", F.unix_micros("et"))
+    by = ["_time" if name == "et" else name for name in order]
+    marked = first_of_day_and_session(
+        plain, "mid", "sid", PAGE_DIMENSIONS, "et", by, "micros",
+        F.count(F.lit(1)).alias("pv"), F.sum("during_time").alias("during"),
     )
     return tumbling(
-        flagged,
-        "et",
+        marked,
+        "at",
         "5 seconds",
         [
             total("uv", "uv_ct"),
             total("starts", "sv_ct"),
-            F.count(F.lit(1)).alias("pv_ct"),
-            total("during_time", "dur_sum"),
+            total("pv", "pv_ct"),
+            total("during", "dur_sum"),
         ],
         by=PAGE_DIMENSIONS,
         date_pattern=COMPACT_DATE,

@@ -1,10 +1,9 @@
 """Per-key state machines for ``transformWithState``.
 
-Each sees the rows one micro-batch brings to a key, puts them in event order,
-and keeps one small value per key between batches.  What a batch may bring is
-bounded at the source (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
-Days are whole numbers (days since the epoch in the session's time zone), made
-by Spark before the rows come here.
+What comes here is already in event order from batch to batch: ``stateful`` first aggregates rows to one per key and
+pane, and Spark hands a pane on once the watermark has passed its end.  So a machine only puts the few panes that close
+together in order, and a key costs as many rows as it has panes, however many rows it has.  Days are whole numbers (days
+since the epoch in the session's time zone), made by Spark before the rows come here.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 class _Keyed(StatefulProcessor):
+    """Goes through a key's panes in order with one value of state; adds a column to each row."""
+
     state_schema = ""
     added = ""
 
@@ -29,149 +30,145 @@ class _Keyed(StatefulProcessor):
         self.state = handle.getValueState("state", self.state_schema)
 
     def in_order(self, rows: Iterator[Row]) -> list[Row]:
-        return sorted(rows, key=lambda row: tuple(row[name] for name in self.order))
+        return sorted(rows, key=lambda row: tuple((row[name] is not None, row[name]) for name in self.order))
 
     def extended(self, row: Row, value) -> Row:
         return self.out(*[row[name] for name in self.names], value)
 
+    def known(self):
+        return self.state.get()[0] if self.state.exists() else None
+
     def close(self) -> None:
         pass
 
 
 class DaySeen(_Keyed):
-    """The day a key was last seen; adds it to rows as ``prev_day``.
-
-    With ``changes_only``, rows on the same day as the one before are left out.
-    """
+    """The day a key was last seen; adds it to rows as ``prev_day``."""
 
     state_schema = "day int"
     added = "prev_day"
 
-    def __init__(self, order: list[str], names: list[str], changes_only: bool) -> None:
-        super().__init__(order, names)
-        self.changes_only = changes_only
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.state.get() if self.state.exists() else None
-        last = before = known[0] if known else None
+        last = before = self.known()
         for row in self.in_order(rows):
-            if row["day"] != last or not self.changes_only:
-                yield self.extended(row, last)
+            yield self.extended(row, last)
             last = row["day"]
         if last != before:
             self.state.update((last,))
 
 
 class FirstVisit(_Keyed):
-    """A device's first day; adds the repaired visitor flag to every row."""
+    """The day a device counts as first seen, from its first row with a visitor flag; added as ``first_day``."""
 
     state_schema = "day int"
-    added = "fixed"
+    added = "first_day"
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.state.get() if self.state.exists() else None
-        first = before = known[0] if known else None
+        first = before = self.known()
         for row in self.in_order(rows):
-            flag = row["is_new"]
-            if flag == "1" and first is None:
-                first = row["day"]
-            elif flag == "1" and first != row["day"]:
-                flag = "0"
-            elif flag == "0" and first is None:
-                first = row["day"] - 1
-            yield self.extended(row, flag)
+            if first is None and row["flag"] is not None:
+                first = row["day"] if row["flag"] == "1" else row["day"] - 1
+            yield self.extended(row, first)
         if first != before:
             self.state.update((first,))
 
 
 class SessionStart(_Keyed):
-    """Marks a session's first row; the mark is forgotten ``ttl`` after it was set.
+    """Marks the first row of a session; the mark holds for ``ttl`` and is then removed by a timer.
 
-    The state is the time of that row in microseconds.
+    Once per pane the session's earliest row decides.  The state is the time of the row that was marked, in
+    microseconds.  A pane may close up to its own length after the time of its first row, so the timer waits for that.
     """
 
     state_schema = "created bigint"
     added = "starts"
 
-    def __init__(self, order: list[str], names: list[str], ttl_seconds: int) -> None:
+    def __init__(self, order: list[str], names: list[str], ttl_seconds: int, pane_seconds: int) -> None:
         super().__init__(order, names)
         self.ttl = ttl_seconds * 1_000_000
+        self.pane = pane_seconds * 1_000_000
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.state.get() if self.state.exists() else None
-        created = before = known[0] if known else None
+        created = before = self.known()
+        decided = None
         for row in self.in_order(rows):
-            starts = created is None or row["micros"] - created >= self.ttl
+            starts = row["pane_end"] != decided and (created is None or row["micros"] - created >= self.ttl)
+            decided = row["pane_end"]
             if starts:
                 created = row["micros"]
             yield self.extended(row, 1 if starts else 0)
         if created != before:
             self.state.update((created,))
+            self.handle.registerTimer(self._due(created))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        created = self.known()
+        if created is not None and self._due(created) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        return iter(())
+
+    def _due(self, created: int) -> int:
+        return -(-(created + self.ttl + self.pane) // 1000)
 
 
 class FollowedBy(StatefulProcessor):
     """A ``first`` event directly followed by a ``second`` one of the same key.
 
-    Rows wait until the watermark has passed them, so that what counts as
-    directly following does not depend on arrival order.
+    Rows wait in buckets of event time until the watermark has passed their bucket, so that what counts as directly
+    following does not depend on arrival order.  A bucket is read once, when its timer fires, and freed; rows of other
+    buckets are not touched.  The last event is forgotten when nothing can follow it in time any more.
     """
 
     def __init__(self, first: str, second: str, within_seconds: int, message: str) -> None:
         self.first, self.second = first, second
         self.within = within_seconds * 1_000_000
+        self.bucket = min(self.within, 60_000_000)
         self.message = message
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "micros bigint, tie bigint, kind string")
+        event = "micros bigint, tie bigint, kind string"
+        self.waiting = handle.getMapState("waiting", "bucket bigint", f"events array<struct<{event}>>")
         self.last = handle.getValueState("last", "micros bigint, kind string")
-        self.due = handle.getValueState("due", "millis bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        added = [(row["micros"], row["tie"], row["kind"]) for row in rows]
-        self.waiting.appendList(added)
-        self._wake_at(min(micros for micros, _, _ in added))
+        added: dict[int, list[tuple]] = {}
+        for row in rows:
+            added.setdefault(row["micros"] // self.bucket, []).append((row["micros"], row["tie"], row["kind"]))
+        for bucket, events in added.items():
+            at = (bucket,)
+            known = [tuple(e) for e in self.waiting.getValue(at)[0]] if self.waiting.containsKey(at) else []
+            self.waiting.updateValue(at, ([*known, *events],))
+            if not known:
+                self.handle.registerTimer(self._end(bucket))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        events = sorted((row[0], row[1], row[2]) for row in self.waiting.get())
-        ready = [event for event in events if event[0] <= passed]
-        later = [event for event in events if event[0] > passed]
-        self.due.clear()
-        if later:
-            self.waiting.put(later)
-            self._wake_at(later[0][0])
-        else:
-            self.waiting.clear()
+        expired = expiredTimerInfo.getExpiryTimeInMs()
+        bucket = expired * 1000 // self.bucket - 1
         before = tuple(self.last.get()) if self.last.exists() else None
-        for micros, _, kind in ready:
+        if not self.waiting.containsKey((bucket,)):
+            if before is not None and before[0] + self.within <= expired * 1000:
+                self.last.clear()
+            return
+        events = sorted((tuple(e) for e in self.waiting.getValue((bucket,))[0]), key=lambda e: (e[0], e[1] is not None, e[1]))
+        self.waiting.removeKey((bucket,))
+        for micros, _, kind in events:
             if (
                 before is not None
                 and before[1] == self.first
                 and kind == self.second
                 and micros - before[0] < self.within
             ):
-                yield Row(
-                    user_id=key[0],
-                    first_micros=before[0],
-                    second_micros=micros,
-                    message=self.message,
-                )
+                yield Row(user_id=key[0], first_micros=before[0], second_micros=micros, message=self.message)
             before = (micros, kind)
-        if ready:
-            self.last.update(before)
-
-    def _wake_at(self, micros: int) -> None:
-        """One timer per key, at its earliest waiting row."""
-        millis = -(-micros // 1000)
-        current = self.due.get()[0] if self.due.exists() else None
-        if current is not None and current <= millis:
-            return
-        if current is not None:
-            self.handle.deleteTimer(current)
-        self.handle.registerTimer(millis)
-        self.due.update((millis,))
+        self.last.update(before)
+        # a later bucket's timer reads it before this one forgets it
+        self.handle.registerTimer(self._end((before[0] + self.within) // self.bucket + 1))
+
+    def _end(self, bucket: int) -> int:
+        """When the bucket is over, in milliseconds."""
+        return (bucket + 1) * self.bucket // 1000
 
     def close(self) -> None:
         pass

@@ -51,6 +51,7 @@ def test_log_to_page_metrics(spark, tmp_path):
               displays=[{"item": "1"}], err={"code": "1"}),
         visit("m", "1", D1 + DAY, page={"page_id": "home", "during_time": 6}, sid="t"),
         "broken {",
+        visit("end", "1", D1 + 900 * DAY),  # rows come out when the watermark has passed them
     ]
     out = tmp_path / "split"
     home.put(jobs.BEHAVIOR_LOG, "a", log)
