@@ -183,6 +183,19 @@ RULED = f"""
          AND m.s * 1000 >= v.since AND m.s * 1000 < v.till)
 """
 
+# Which event's line is spoiled, and how.
+SPOILED = "spoiled AS (SELECT *, event_id % 50 AS spoil FROM events)"
+
+
+def _error(missing: str) -> str:
+    return f"""CASE WHEN spoil IN (0, 1) THEN 'empty' WHEN spoil < 7 THEN 'malformed'
+                    WHEN spoil = 7 THEN '{missing}' END AS error"""
+
+
+def _if_good(value: str) -> str:
+    return f"CASE WHEN spoil >= 8 THEN {value} END"
+
+
 WORDS = "list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+|[一-鿿]'))"
 
 
@@ -539,6 +552,46 @@ ORACLE_SQL: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS extra, {_seconds('ts')} AS ts
         FROM events WHERE event_type <> 'error'
     """,
+    "change_log_json": f"""
+        WITH {SPOILED}
+        SELECT event_id AS seq, {_error('missing table')},
+               {_if_good("CASE event_type WHEN 'purchase' THEN 'coupon_use' WHEN 'click' THEN 'coupon_use' "
+                         "WHEN 'view' THEN 'favor_info' WHEN 'signup' THEN 'user_info' ELSE 'order_status_log' END")} AS "table",
+               {_if_good("CASE WHEN event_type = 'click' THEN 'update' ELSE 'insert' END")} AS type,
+               {_if_good(_text('event_id'))} AS id, {_if_good(_text('user_id'))} AS user_id, {_if_good(_text(K))} AS k,
+               {_if_good(_seconds('ts'))} AS ts, {_if_good(_seconds('ts'))} AS et_s
+        FROM spoiled
+    """,
+    "behavior_log_json": f"""
+        WITH {LOG}, {SPOILED}
+        SELECT seq, {_error('missing common')},
+               {_if_good('mid')} AS mid, {_if_good('uid')} AS uid, {_if_good('is_new0')} AS is_new,
+               {_if_good("CASE WHEN ch = 'signup' THEN CAST(k AS VARCHAR) END")} AS loading_time,
+               {_if_good('CASE WHEN is_page THEN page_id END')} AS page_id,
+               {_if_good('CASE WHEN is_page THEN CAST(during_time AS VARCHAR) END')} AS during_time,
+               {_if_good("CASE WHEN ch IN ('view', 'purchase') THEN 2 ELSE 0 END")} AS displays,
+               {_if_good("CASE WHEN ch = 'click' THEN 1 ELSE 0 END")} AS actions,
+               {_if_good("CASE WHEN ch = 'error' THEN CAST(k + 1000 AS VARCHAR) END")} AS error_code,
+               {_if_good('sid')} AS sid, {_if_good('log0.ts')} AS ts
+        FROM log0 JOIN spoiled ON event_id = seq
+    """,
+    "shop_events_json": f"""
+        WITH {SPOILED}
+        SELECT event_id AS seq, {_error('missing userId')}, {_if_good(_text('user_id'))} AS user_id,
+               {_if_good("CASE event_type WHEN 'signup' THEN 'login' WHEN 'click' THEN 'couponRedemption' "
+                         "WHEN 'view' THEN 'quickBrowse' WHEN 'purchase' THEN 'quickPurchase' ELSE 'other' END")} AS event_type,
+               {_if_good("CASE WHEN event_type <> 'error' THEN " + _seconds('ts') + " END")} AS et_s
+        FROM spoiled
+    """,
+    "metric_events_json": f"""
+        WITH {SPOILED}
+        SELECT event_id AS seq, {_error('missing event_time')}, {_if_good('CAST(user_id AS INTEGER)')} AS user_id_int,
+               {_if_good("CASE WHEN event_type = 'signup' THEN 'LOGIN_SUCCESS' ELSE upper(event_type) END")} AS event_name,
+               {_if_good('event_type')} AS event_type, {_if_good("'p' || " + K)} AS province,
+               {_if_good("'gold'")} AS grade, {_if_good('CAST(CAST(value AS DECIMAL(16,2)) AS DOUBLE)')} AS price,
+               {_if_good(_seconds('ts'))} AS et_s
+        FROM spoiled
+    """,
     "arrival_day_changes": """
         WITH o AS (
             SELECT user_id, CAST(ts AS DATE) AS d,

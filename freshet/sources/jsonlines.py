@@ -33,11 +33,12 @@ def malformed(lines: DataFrame) -> DataFrame:
     return lines.where(~is_json_object("value"))
 
 
-def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Readable lines as ``schema``; columns beside ``value`` are carried.
+def checked(lines: DataFrame, schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
+    """Every line with its ``row`` or the ``error`` that keeps it from being one, in one pass.
 
-    A field of another type than expected is null; a number written as text is
-    accepted.
+    Errors: ``empty`` (null or blank), ``malformed`` (not exactly one object), ``missing <field>`` (the first of
+    ``required`` that is absent, null or of another type).  A field of another type than expected is null; a number
+    written as text is accepted.  Columns beside ``value`` are carried.
     """
 
     def is_number(field: T.StructField) -> bool:
@@ -46,11 +47,37 @@ def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
     relaxed = T.StructType(
         [T.StructField(f.name, T.StringType() if is_number(f) else f.dataType) for f in schema]
     )
-    carried = [name for name in lines.columns if name != "value"]
-    rows = lines.select(*carried, _only_element(F.col("value"), relaxed).alias("_row"))
-    columns = [
-        (F.col("_row")[f.name].try_cast(f.dataType) if is_number(f) else F.col("_row")[f.name])
+    read = lines.withColumn("_raw", _only_element(F.col("value"), relaxed))
+    fields = [
+        (F.col("_raw")[f.name].try_cast(f.dataType) if is_number(f) else F.col("_raw")[f.name])
         .alias(f.name)
         for f in schema
     ]
-    return rows.where(F.col("_row").isNotNull()).select(*carried, *columns)
+    typed = read.withColumn("row", F.when(F.col("_raw").isNotNull(), F.struct(*fields))).drop("_raw")
+    error = F.when(F.length(F.trim(F.coalesce("value", F.lit("")))) == 0, "empty").when(
+        F.col("row").isNull(), "malformed"
+    )
+    for name in required:
+        error = error.when(F.col("row")[name].isNull(), f"missing {name}")
+    return typed.withColumn("error", error)
+
+
+def good_rows(lines: DataFrame) -> DataFrame:
+    """The rows of ``checked`` lines without an error; carried columns first."""
+    carried = [name for name in lines.columns if name not in ("value", "row", "error")]
+    return lines.where(F.col("error").isNull()).select(*carried, "row.*")
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """The ``checked`` lines with an error, as they came."""
+    return lines.where(F.col("error").isNotNull()).drop("row")
+
+
+def line_counts(lines: DataFrame) -> DataFrame:
+    """How many ``checked`` lines are good (``error`` null) and how many have which error."""
+    return lines.groupBy("error").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def parse(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Readable lines as ``schema``; see ``checked``."""
+    return good_rows(checked(lines, schema))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,12 @@ from freshet.schemas import (
 )
 from freshet.sources.jsonlines import parse
 
+#: What a line of each log must have to be a row of it.
+CHANGE_NEEDS = ("table", "type", "ts")
+BEHAVIOR_NEEDS = ("common", "ts")
+SHOP_NEEDS = ("userId", "eventType")
+METRIC_NEEDS = ("event_time",)
+
 FACT_DELAY = "3 seconds"
 SUMMARY_DELAY = "5 seconds"
 METRIC_DELAY = "1 second"
@@ -60,11 +68,14 @@ def order_detail_facts(lines: DataFrame, delay: str = FACT_DELAY) -> DataFrame:
     return watermarked(rows.withColumn("et", from_seconds("ts")), "et", delay)
 
 
+def metric_rows(events: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Metric events cut to the used columns, with event time ``et``."""
+    return events.select(*carried, *METRIC_COLUMNS).withColumn("et", datetime_to_timestamp("event_time"))
+
+
 def metric_events(lines: DataFrame) -> DataFrame:
     """Metric events cut to the used columns, with event time ``et``."""
-    rows = parse(lines, METRIC_EVENT).select(*METRIC_COLUMNS)
-    timed = rows.withColumn("et", datetime_to_timestamp("event_time"))
-    return watermarked(timed, "et", METRIC_DELAY)
+    return watermarked(metric_rows(parse(lines, METRIC_EVENT)), "et", METRIC_DELAY)
 
 
 def shop_event_time() -> Column:
@@ -77,11 +88,16 @@ def shop_event_time() -> Column:
     )
 
 
-def shop_events(lines: DataFrame, delay: str = "5 seconds") -> DataFrame:
+def shop_rows(events: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Shop events as ``user_id, event_type, et``."""
-    rows = parse(lines, SHOP_EVENT).select(
+    return events.select(
+        *carried,
         F.col("userId").alias("user_id"),
         F.col("eventType").alias("event_type"),
         shop_event_time().alias("et"),
     )
-    return watermarked(rows, "et", delay)
+
+
+def shop_events(lines: DataFrame, delay: str = "5 seconds") -> DataFrame:
+    """Shop events as ``user_id, event_type, et``."""
+    return watermarked(shop_rows(parse(lines, SHOP_EVENT)), "et", delay)

@@ -605,6 +605,65 @@ def page_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("et", F.timestamp_millis("ts"))
 
 
+def spoiled(lines: DataFrame, number: str = "seq") -> DataFrame:
+    """Every fiftieth line each is empty, null, cut short, followed by text, a list, a null, doubled, or lacks all fields."""
+    kind, value = F.pmod(F.col(number), F.lit(50)), F.col("value")
+    shapes = [
+        F.lit(""), F.lit(None).cast("string"), F.expr("substring(value, 1, length(value) - 1)"),
+        F.concat(value, F.lit(" x")), F.concat(F.lit("["), value, F.lit("]")), F.lit("null"),
+        F.concat(value, value), F.lit('{"other": 1}'),
+    ]
+    out = value
+    for k, shape in enumerate(shapes):
+        out = F.when(kind == k, shape).otherwise(out)
+    return lines.withColumn("value", out)
+
+
+def change_lines(events: DataFrame) -> DataFrame:
+    """The events' change rows as (``seq``, ``value``) lines, some spoiled; ``ts`` is text on every third."""
+    rows = fact_changes_of_events(events).drop("et")
+    row = rows.withColumn("seq", F.col("data")["id"].cast("bigint"))
+    whole = F.struct("database", "table", "type", "data", "ts")
+    as_text = F.struct("database", "table", "type", "data", F.col("ts").cast("string").alias("ts"))
+    value = F.when(F.col("seq") % 3 == 0, F.to_json(as_text)).otherwise(F.to_json(whole))
+    return spoiled(row.select("seq", value.alias("value")))
+
+
+def behavior_lines(events: DataFrame) -> DataFrame:
+    """The behaviour log as (``seq``, ``value``) lines, some spoiled."""
+    rows = behavior_rows(events)
+    value = F.to_json(F.struct(*[name for name in rows.columns if name != "seq"]))
+    return spoiled(rows.select("seq", value.alias("value")))
+
+
+def shop_lines(events: DataFrame) -> DataFrame:
+    """Events as shop events, each type with a time field of its own, as lines, some spoiled."""
+    kind = F.col("event_type")
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    named = F.when(kind == "signup", "login").when(kind == "click", "couponRedemption").when(
+        kind == "view", "quickBrowse").when(kind == "purchase", "quickPurchase").otherwise("other")
+    times = [("signup", "loginTime"), ("click", "redemptionTime"), ("view", "browseTime"), ("purchase", "purchaseTime")]
+    fields = [F.when(kind == k, at).alias(name) for k, name in times]
+    value = F.to_json(F.struct(F.col("user_id").cast("string").alias("userId"), named.alias("eventType"), *fields, F.lit("10.0.0.1").alias("ipAddress")))
+    return spoiled(events.select(F.col("event_id").alias("seq"), value.alias("value")))
+
+
+def metric_lines(events: DataFrame) -> DataFrame:
+    """Events as metric events with their nested context, times written at the writer's offset, as lines, some spoiled."""
+    at = F.date_format(F.col("ts") + F.expr("interval 8 hours"), DATETIME)
+    context = F.struct(
+        F.struct(F.lit("10.0.0.1").alias("ip"), F.concat(F.lit("p"), event_number()).alias("province")).alias("device"),
+        F.struct(F.lit("gold").alias("grade")).alias("profile"),
+        F.struct(F.col("value").cast("decimal(16,2)").alias("price")).alias("product"),
+    )
+    named = F.when(F.col("event_type") == "signup", "LOGIN_SUCCESS").otherwise(F.upper("event_type"))
+    value = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("event_id"), F.col("user_id").cast("int").alias("user_id_int"),
+        named.alias("event_name"), F.col("event_type"), F.lit("x").alias("event_level"), at.alias("event_time"), context.alias("event_context"),
+    ))
+    return spoiled(events.select(F.col("event_id").alias("seq"), value.alias("value")))
+
+
 def document_searches(documents: DataFrame) -> DataFrame:
     """Whole document texts as search phrases, one second apart."""
     seconds = F.col("doc_id") + 1_704_067_200

@@ -11,11 +11,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.operators import log_split
 from freshet.operators.dimension import cells, covered_dropped, latest_cells, live_cells
 from freshet.operators.rule_log import of_living_tables
+from freshet.sources import jsonlines
 from freshet.sources.snapshots import snake_columns
 from freshet.streaming.run_store import RunStore
 
@@ -78,6 +80,28 @@ def after(step: Callable[[DataFrame], DataFrame], writer: BatchWriter) -> BatchW
     return write
 
 
+def parsed(
+    schema: T.StructType,
+    required: tuple[str, ...],
+    rows: BatchWriter,
+    bad: BatchWriter,
+    counts: BatchWriter | None = None,
+) -> BatchWriter:
+    """Parses each batch of lines once: rows to one output, bad lines to a second, their numbers to a third."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = jsonlines.checked(batch, schema, required).persist()
+        try:
+            rows(jsonlines.good_rows(lines), batch_id)
+            bad(jsonlines.bad_lines(lines), batch_id)
+            if counts is not None:
+                counts(jsonlines.line_counts(lines), batch_id)
+        finally:
+            lines.unpersist()
+
+    return write
+
+
 def _folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 

@@ -1,10 +1,12 @@
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from freshet.schemas import DIM_RULE
 from freshet.sources import jsonlines, kafka, logs, snapshots
+from freshet.streaming import sinks
 
 
 def test_malformed_lines_are_kept_apart(lines):
@@ -99,3 +101,28 @@ def test_snapshot_rename(spark):
     df = spark.createDataFrame([(1,)], "source_table int")
     assert snapshots.camel_columns(df).columns == ["sourceTable"]
     assert snapshots.snake_columns(snapshots.camel_columns(df)).columns == ["source_table"]
+
+
+def test_checked_lines_say_what_is_wrong(lines):
+    schema = T.StructType.fromDDL("a string, n bigint, m map<string,string>")
+    df = lines('{"a":"x","n":"7","m":{"k":1}}', "", None, "  ", "bad {", '{"a":"x"} {"a":"y"}', "[]", '{"n":1}', '{"a":"x"}',
+               '{"a":"x","n":"seven"}', '{"a":"x","n":2,"m":3}')
+    got = jsonlines.checked(df, schema, ("a", "n"))
+    assert rows(jsonlines.good_rows(got)) == sorted([("x", 2, None), ("x", 7, {"k": "1"})], key=repr)
+    assert rows(jsonlines.line_counts(got)) == sorted(
+        [(None, 2), ("empty", 3), ("malformed", 3), ("missing a", 1), ("missing n", 2)], key=repr)
+    assert jsonlines.bad_lines(got).count() == 9
+    assert jsonlines.line_counts(jsonlines.checked(df.limit(0), schema)).count() == 0
+
+
+def test_a_stream_writes_rows_bad_lines_and_counts(spark, tmp_path):
+    place = tmp_path / "in"
+    place.mkdir()
+    (place / "a.txt").write_text('{"a":"1"}\nbroken\n{"b":"2"}')
+    outs = {name: str(tmp_path / name) for name in ("rows", "bad", "counts")}
+    writer = sinks.parsed(T.StructType.fromDDL("a string"), ("a",), *[sinks.to_parquet(path) for path in outs.values()])
+    for _ in range(2):
+        sinks.start(kafka.read_text_stream(spark, str(place)), str(tmp_path / "state"), writer).awaitTermination()
+    assert rows(spark.read.parquet(outs["rows"]), "a") == [("1",)]
+    assert rows(spark.read.parquet(outs["bad"]), "value", "error") == sorted([("broken", "malformed"), ('{"b":"2"}', "missing a")], key=repr)
+    assert rows(spark.read.parquet(outs["counts"]), "error", "lines") == sorted([(None, 1), ("malformed", 1), ("missing a", 1)], key=repr)
