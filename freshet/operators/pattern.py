@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.operators.ordered import neighbour_value, time_chunk
 
+# Fixed value: the text of an alert.
 MESSAGE = "Suspicious behavior detected"
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freshet.functions import times
 from freshet.functions.text import register_kw_split
@@ -14,7 +15,9 @@ from freshet.operators.joins import interval_join
 from freshet.operators.ordered import number_chunk
 from freshet.plans import facts, summaries
 from freshet.schemas import BEHAVIOR, CHANGE, DIM_RULE, FACT_RULE, METRIC_EVENT, SHOP_EVENT
+from freshet.session import run_dir
 from freshet.sources import jsonlines, logs, snapshots, tables
+from freshet.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -367,6 +370,28 @@ def metric_events_json(spark, sf_dir):
     return rows.unionByName(jsonlines.bad_lines(lines).drop("value"), allowMissingColumns=True)
 
 
+def upsert_log_table(spark, sf_dir):
+    """An upsert topic read as a table: each user's newest message, unless it is a tombstone."""
+    messages = tables.profile_messages(tables.read_table(spark, sf_dir, "events"))
+    return sinks.upsert_table(messages, T.StructType.fromDDL(tables.PROFILE_VALUE)).drop("ts", "seq", "removed")
+
+
+def olap_lines(spark, sf_dir):
+    """Metric rows through the OLAP sink in eight batches, one of them run twice, read back from its lines."""
+    path = run_dir(spark, "olap-lines")
+    write = sinks.to_olap_lines(path, hidden=["part"], fan_in=4)
+    counted = order_users_10s(spark, sf_dir).select(
+        "stt", "edt", F.col("cur_date").alias("curDate"), F.col("order_unique_user_count").alias("orderUniqueUserCount"),
+        F.col("order_new_user_count").alias("orderNewUserCount"), F.pmod(F.xxhash64("stt"), F.lit(8)).alias("part"),
+    ).persist()
+    try:
+        for number in (0, 1, 2, 2, 3, 4, 5, 6, 7):
+            write(counted.where(F.col("part") == number), number)
+    finally:
+        counted.unpersist()
+    return sinks.read_olap_lines(spark, path)
+
+
 def arrival_day_changes(spark, sf_dir):
     """Day changes per user when rows arrive out of time order.
 
@@ -445,6 +470,8 @@ QUERIES: dict[str, Query] = {
         behavior_log_json,
         shop_events_json,
         metric_events_json,
+        upsert_log_table,
+        olap_lines,
         arrival_day_changes,
         event_time_texts,
     )

@@ -552,6 +552,12 @@ ORACLE_SQL: dict[str, str] = {
                CAST(NULL AS VARCHAR) AS extra, {_seconds('ts')} AS ts
         FROM events WHERE event_type <> 'error'
     """,
+    "upsert_log_table": f"""
+        SELECT {_text('user_id')} AS key, {_text('user_id')} AS user_id, {_text(K)} AS k, event_type AS kind
+        FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000000 DESC, event_id DESC) = 1
+            AND event_type <> 'error'
+    """,
     "change_log_json": f"""
         WITH {SPOILED}
         SELECT event_id AS seq, {_error('missing table')},
@@ -612,6 +618,8 @@ ORACLE_SQL: dict[str, str] = {
     """,
 }
 
+ORACLE_SQL["olap_lines"] = ORACLE_SQL["order_users_10s"]
+
 # The streaming jobs must give what the batch jobs give.
 for _name in (
     "order_users_10s",

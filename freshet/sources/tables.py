@@ -664,6 +664,20 @@ def metric_lines(events: DataFrame) -> DataFrame:
     return spoiled(events.select(F.col("event_id").alias("seq"), value.alias("value")))
 
 
+PROFILE_VALUE = "user_id string, k string, kind string"
+
+
+def profile_messages(events: DataFrame) -> DataFrame:
+    """Events as an upsert topic keyed by user: the newest profile replaces older ones, an error removes it."""
+    row = F.struct(F.col("user_id").cast("string").alias("user_id"), event_number().cast("string").alias("k"), F.col("event_type").alias("kind"))
+    return events.select(
+        F.col("user_id").cast("string").alias("key"),
+        F.when(F.col("event_type") != "error", F.to_json(row)).alias("value"),
+        seconds_of("ts").alias("ts"),
+        F.col("event_id").alias("seq"),
+    )
+
+
 def document_searches(documents: DataFrame) -> DataFrame:
     """Whole document texts as search phrases, one second apart."""
     seconds = F.col("doc_id") + 1_704_067_200

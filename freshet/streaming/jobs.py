@@ -254,7 +254,7 @@ def start(
     if name == "dim_app":
         writer = sinks.to_dimension_cells(f"{folder}/rows", ["ts", "seq"])
     elif job.topic is None:
-        writer = sinks.to_json_lines(f"{folder}/rows")
+        writer = sinks.to_olap_lines(f"{folder}/rows")
     else:
         writer = sinks.to_kafka(sinks.kafka_options(servers, target))
     return sinks.start(rows, state, writer_of(name, folder, context, writer), available_now=False)

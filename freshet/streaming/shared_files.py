@@ -24,6 +24,11 @@ class SharedFiles:
             return []
         return sorted(status.getPath().getName() for status in fs.listStatus(place))
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below ``path``."""
+        place, fs = self._at(path)
+        return fs.getContentSummary(place).getLength()
+
     def read(self, path: str) -> str:
         place, fs = self._at(path)
         stream = fs.open(place)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -53,18 +53,43 @@ def as_messages(
     return df.select(*columns, value.alias("value"))
 
 
+def _packed(order: Sequence[str], rest: Sequence[str]) -> Column:
+    """One or two numbers or times as one number of fixed width, so that its largest needs no sorting to find.
+
+    Without a second one, rows of equal order are told apart by their hash.
+    """
+    if len(order) > 2:
+        raise ValueError("at most a time and a number make an order")
+
+    def whole(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("bigint"), F.lit(-(2**62))).cast("decimal(20,0)")
+
+    second = whole(order[1]) if len(order) == 2 else F.xxhash64(*rest).cast("decimal(20,0)")
+    return (whole(order[0]) * F.lit(str(2**64)).cast("decimal(20,0)") + second).cast("decimal(38,0)")
+
+
 def latest_by_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """An upsert log read as a table: each key's last row, unless it was removed.
 
-    ``removed`` marks tombstones.
+    ``removed`` marks tombstones.  ``order`` is a time or number (within 4.6 * 10^18 of zero, whole seconds of
+    timestamps) and, if need be, a second number that tells a key's rows apart; a row that is repeated counts once.  The
+    newest order of each key is found by a hash aggregate over keys and order alone; whole rows only meet that.
     """
     rest = [c for c in changes.columns if c not in keys]
-    last = changes.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
-    )
-    return last.where(~F.col("_last.removed")).select(
-        *keys, *[F.col(f"_last.{c}").alias(c) for c in rest if c != "removed"]
-    )
+    numbered = changes.withColumn("_order", _packed(order, rest))
+    newest = numbered.groupBy(*keys).agg(F.max("_order").alias("_newest"))
+    newest = newest.withColumnsRenamed({key: f"_n_{key}" for key in keys})
+    same = F.col("_order") == F.col("_newest")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"_n_{key}"))
+    last = numbered.join(newest, same).where(~F.col("removed"))
+    return last.select(*keys, *[c for c in rest if c != "removed"]).distinct()
+
+
+def upsert_table(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Messages (``key``, ``value``, ``ts``, ``seq``) of an upsert topic as a table; a null value removes its key."""
+    log = messages.select("key", "value", F.col("value").isNull().alias("removed"), "ts", "seq")
+    return jsonlines.parse(latest_by_key(log, ["key"], ["ts", "seq"]), schema)
 
 
 def after(step: Callable[[DataFrame], DataFrame], writer: BatchWriter) -> BatchWriter:
@@ -116,6 +141,31 @@ def to_json_lines(path: str, hidden: Sequence[str] = ()) -> BatchWriter:
     return write
 
 
+OLAP_FILE_BYTES = 128 << 20
+
+
+def _line_store(spark: SparkSession, path: str, full_bytes: int = OLAP_FILE_BYTES, **options) -> RunStore:
+    return RunStore(spark, path, lambda rows: rows.coalesce(1), full_bytes=full_bytes, kind="json", **options)
+
+
+def to_olap_lines(path: str, hidden: Sequence[str] = (), **options) -> BatchWriter:
+    """JSON lines with snake_case names for the OLAP store, each batch once, rolled up into files of a good size.
+
+    Small batches gather in one file until it has ``full_bytes``; see ``RunStore``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = snake_columns(batch.drop(*hidden))
+        _line_store(batch.sparkSession, path, **options).append(rows, batch_id)
+
+    return write
+
+
+def read_olap_lines(spark: SparkSession, path: str) -> DataFrame | None:
+    """The lines of all committed batches; None before the first."""
+    return _line_store(spark, path).read()
+
+
 def to_parquet(path: str) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_folder(path, batch_id))

@@ -61,13 +61,13 @@ def test_metric_events_are_cut_and_read_at_plus_eight(lines):
 def test_shop_events_use_the_types_own_time_field(lines):
     got = logs.shop_events(
         lines(
-            {"eventType": "login", "userId": "1", "loginTime": "2024-01-17T08:00:00Z"},
-            {"eventType": "quickPurchase", "userId": "1", "purchaseTime": "2024-01-17T08:04:00Z"},
+            {"eventType": "login", "userId": "1", "loginTime": "2024-03-02T10:15:30Z"},
+            {"eventType": "quickPurchase", "userId": "1", "purchaseTime": "2024-03-02T10:21:00Z"},
         )
     )
     assert rows(got, "event_type", "et") == [
-        ("login", datetime(2024, 1, 17, 8)),
-        ("quickPurchase", datetime(2024, 1, 17, 8, 4)),
+        ("login", datetime(2024, 3, 2, 10, 15, 30)),
+        ("quickPurchase", datetime(2024, 3, 2, 10, 21)),
     ]
 
 
