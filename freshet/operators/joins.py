@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from freshet.operators.skew import skew_join
 
+#: Over how many parts a stream join spreads the rows of one key; the other side's rows are kept that often.
+STREAM_SALTS = 4
+#: Over how many parts rows without a key are spread; nothing is copied for them.
+NULL_SALTS = 64
+
 
 def fact_join(
     left: DataFrame,
@@ -26,8 +31,9 @@ def fact_join(
     streams a row waits for partners whose event time is at most
     ``bound_seconds`` away; the watermark then frees its state, and an
     unmatched outer row is emitted once.  ``left_unique`` says that ``keys`` are
-    the left side's primary key, so no key can be hot.  The right side's ``et`` (and ``ts``)
-    are dropped, which chained stream joins require.
+    the left side's primary key, so no key can be hot; otherwise a key's state is spread over
+    ``STREAM_SALTS`` parts, as which keys are hot cannot be counted beforehand.  Rows without a key, which an outer join
+    has to hold, are spread too.  The right side's ``et`` (and ``ts``) are dropped, which chained stream joins require.
     """
     keys = list(keys)
     if not (left.isStreaming or right.isStreaming):
@@ -35,7 +41,7 @@ def fact_join(
         if left_unique:
             return left.join(right, keys, how)
         return skew_join(left, right, keys, how, sample_of=sample_of)
-    renamed = right.drop("ts")
+    left, renamed = _salted(left, right.drop("ts"), keys, 1 if left_unique else STREAM_SALTS)
     for key in keys:
         renamed = renamed.withColumnRenamed(key, f"_r_{key}")
     renamed = renamed.withColumnRenamed("et", "_r_et")
@@ -45,8 +51,19 @@ def fact_join(
     )
     for key in keys:
         matched &= F.col(key) == F.col(f"_r_{key}")
+    matched &= F.col("_salt") == F.col("_r_salt")
     joined = left.join(renamed, matched, "left_outer" if how == "left" else how)
-    return joined.drop("_r_et", *[f"_r_{key}" for key in keys])
+    return joined.drop("_r_et", "_salt", "_r_salt", *[f"_r_{key}" for key in keys])
+
+
+def _salted(left: DataFrame, right: DataFrame, keys: list[str], salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a stream join with a part of the key's state: ``_salt`` on the left, every ``_r_salt`` on the right."""
+    plain = [c for c, kind in left.dtypes if not kind.startswith("map")]
+    number = F.xxhash64(*plain)
+    unkeyed = F.greatest(*[F.col(key).isNull() for key in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    salt = F.when(unkeyed, F.pmod(number, F.lit(NULL_SALTS))).otherwise(F.pmod(number, F.lit(salts)))
+    every = F.array(*[F.lit(k).cast("bigint") for k in range(salts)])
+    return left.withColumn("_salt", salt), right.withColumn("_r_salt", F.explode(every))
 
 
 def interval_join(
@@ -75,12 +92,13 @@ def interval_join(
         F.col(right_time) <= F.col(left_time) + upper
     )
     if left.isStreaming or right.isStreaming:
-        renamed = right
-        matched = near
+        # which side is busy is not known; the right one is spread
+        renamed, left = _salted(right, left, keys, STREAM_SALTS)
+        matched = near & (F.col("_salt") == F.col("_r_salt"))
         for key in keys:
             renamed = renamed.withColumnRenamed(key, f"_r_{key}")
             matched &= F.col(key) == F.col(f"_r_{key}")
-        return left.join(renamed, matched, "inner").drop(*[f"_r_{k}" for k in keys])
+        return left.join(renamed, matched, "inner").drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
 
     width = max(1, lower_seconds + upper_seconds) * 1_000_000
 

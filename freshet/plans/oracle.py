@@ -620,6 +620,41 @@ ORACLE_SQL: dict[str, str] = {
 
 ORACLE_SQL["olap_lines"] = ORACLE_SQL["order_users_10s"]
 
+# Orders and refunds whose parts come apart; only those near enough meet.
+MOMENTS = f"""
+    e AS (SELECT event_id, user_id, event_type, {K} AS k, epoch_us(ts) // 1000000 AS s, value FROM events),
+    line AS (
+        SELECT {_text('event_id')} AS id, {_text('event_id')} AS order_id, {_text('user_id')} AS user_id,
+               {_text('k')} AS sku_id, 'sku#' || k AS sku_name, {_text('k % 34')} AS province_id,
+               CASE WHEN k % 2 = 0 AND k % 8 <= 5 THEN {_text('k % 10')} END AS activity_id,
+               CASE WHEN k % 2 = 0 AND k % 8 <= 5 THEN {_text('k')} END AS activity_rule_id,
+               CASE WHEN k % 3 = 0 AND k % 7 <= 5 THEN {_text('k % 100')} END AS coupon_id,
+               strftime(make_timestamp(s * 1000000), '{DATE}') AS date_id,
+               strftime(make_timestamp(s * 1000000), '{DATETIME}') AS create_time, '2' AS sku_num,
+               CAST(CAST(2 AS DECIMAL(16,2)) * CAST(value AS DECIMAL(16,2)) AS VARCHAR) AS split_original_amount,
+               '0.00' AS split_activity_amount, '0.00' AS split_coupon_amount, {_money('value')} AS split_total_amount,
+               s AS ts, k
+        FROM e WHERE event_type = 'purchase' AND k % 11 <> 0 AND k % 9 - 1 <= 5)
+"""
+ORACLE_SQL["stream_order_detail_moments"] = f"WITH {MOMENTS} SELECT {WIDE_COLUMNS} FROM line"
+ORACLE_SQL["stream_order_cancel_moments"] = f"""
+    WITH {MOMENTS}
+    SELECT id, order_id, user_id, sku_id, sku_name, province_id, activity_id, activity_rule_id, coupon_id,
+           date_id, create_time AS cancel_time, sku_num, split_original_amount, split_activity_amount,
+           split_coupon_amount, split_total_amount, CAST(ts + k * 20 AS BIGINT) AS ts
+    FROM line WHERE k % 4 = 0 AND k * 20 <= 905
+"""
+ORACLE_SQL["stream_refund_payment_moments"] = f"""
+    WITH {MOMENTS}
+    SELECT {_text('event_id')} AS id, {_text('user_id')} AS user_id, {_text('event_id')} AS order_id,
+           {_text('k')} AS sku_id, {_text('k % 34')} AS province_id, {_text('k % 25')} AS payment_type_code,
+           n_name AS payment_type_name, strftime(make_timestamp(s * 1000000), '{DATE}') AS date_id,
+           strftime(make_timestamp(s * 1000000), '{DATETIME}') AS callback_time, '1' AS refund_num,
+           {_money('value')} AS refund_amount, CAST(s AS BIGINT) AS ts
+    FROM e JOIN nation ON n_nationkey = k % 25
+    WHERE event_type = 'view' AND k % 8 <= 5 AND k % 7 <= 5
+"""
+
 # The streaming jobs must give what the batch jobs give.
 for _name in (
     "order_users_10s",

@@ -18,7 +18,8 @@ from freshet.operators.joins import interval_join
 from freshet.plans import facts, summaries
 from freshet.plans.catalog import Query, routed_columns
 from freshet.sources import tables
-from freshet.sources.logs import SUMMARY_DELAY, watermarked
+from freshet.session import run_dir
+from freshet.sources.logs import FACT_DELAY, SUMMARY_DELAY, watermarked
 from freshet.streaming import ruled, sinks, stateful
 from freshet.streaming.replay import CLOSING_TIME, replay
 
@@ -170,6 +171,37 @@ def stream_dim_upsert(spark, sf_dir):
     return sinks.read_dimension_cells(spark, out).select("sink_table", "row_key", "col", "value")
 
 
+def _moments(spark, sf_dir, name, job):
+    """A fact job over change rows that come seconds or minutes apart."""
+    path = run_dir(spark, f"{name}-changes")
+    tables.trade_moments(tables.read_table(spark, sf_dir, "events")).write.parquet(path)
+    closing = tables.closing_moments(datetime.strptime(CLOSING_TIME, "%Y-%m-%d %H:%M:%S"))
+    out = replay(
+        spark, name, path, closing, lambda changes: job(watermarked(changes, "et", FACT_DELAY)), time="et"
+    )
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def stream_order_detail_moments(spark, sf_dir):
+    """Lines with their order, and activity and coupon where these come within five seconds."""
+    return _moments(spark, sf_dir, "order_detail", lambda changes: facts.order_detail(changes).drop("et"))
+
+
+def stream_order_cancel_moments(spark, sf_dir):
+    """Lines of orders that are cancelled within 905 seconds, behind the three joins that make a line."""
+    return _moments(
+        spark, sf_dir, "order_cancel", lambda changes: facts.order_cancel(changes, facts.order_detail(changes))
+    )
+
+
+def stream_refund_payment_moments(spark, sf_dir):
+    """Paid refunds that meet the refund's end and their order within five seconds."""
+    names = tables.nation_dictionary(spark, sf_dir)
+    return _moments(
+        spark, sf_dir, "refund_payment", lambda changes: facts.refund_payment_success(changes, names)
+    )
+
+
 def _ruled_feed(events: DataFrame, rules: DataFrame, kind: str) -> DataFrame:
     """Change rows and rule changes as the lines their topics would bring."""
     lines = tables.ruled_changes(events).drop("et")
@@ -224,5 +256,8 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_dim_upsert,
         stream_rules_change,
         stream_dim_lifecycle,
+        stream_order_detail_moments,
+        stream_order_cancel_moments,
+        stream_refund_payment_moments,
     )
 }

@@ -11,6 +11,7 @@ parquet columns are read.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -664,6 +665,68 @@ def metric_lines(events: DataFrame) -> DataFrame:
     return spoiled(events.select(F.col("event_id").alias("seq"), value.alias("value")))
 
 
+def trade_moments(events: DataFrame) -> DataFrame:
+    """Events as orders and refunds whose parts come seconds or minutes apart, some of them too far apart to meet.
+
+    A purchase is an order line; its order comes -1 to 7 s later, its activity 0 to 7 s later, its coupon 0 to 6 s before,
+    a cancellation up to 33 minutes later.  A view is a paid refund; the refund's end comes 0 to 7 s later, its order's
+    0 to 6 s before.  Every eleventh line has no order.
+    """
+    events = events.withColumn("_k", event_number()).withColumn("_s", seconds_of("ts"))
+    k, s = F.col("_k"), F.col("_s")
+    bought, viewed = events.where(F.col("event_type") == "purchase"), events.where(F.col("event_type") == "view")
+    line = {
+        "id": "event_id",
+        "order_id": F.when(k % 11 != 0, F.col("event_id")),
+        "sku_id": k,
+        "sku_name": F.concat(F.lit("sku#"), k),
+        "sku_num": F.lit(2),
+        "order_price": money_text("value"),
+        "create_time": F.date_format(F.timestamp_seconds(s), DATETIME),
+        "split_total_amount": money_text("value"),
+        "split_activity_amount": F.lit("0.00"),
+        "split_coupon_amount": F.lit("0.00"),
+    }
+    order = {"id": "event_id", "user_id": "user_id", "province_id": k % 34, "operate_time": F.date_format(F.timestamp_seconds(s), DATETIME)}
+    refund = {"id": "event_id", "order_id": "event_id", "sku_id": k, "payment_type": k % 25,
+              "callback_time": F.date_format(F.timestamp_seconds(s), DATETIME), "total_amount": money_text("value")}
+    parts = [
+        change_rows(bought, "order_detail", "insert", line, s),
+        change_rows(bought, "order_info", "insert", {**order, "order_status": F.lit("1001")}, s + k % 9 - 1),
+        change_rows(bought.where(k % 2 == 0), "order_detail_activity", "insert",
+                    {"order_detail_id": "event_id", "activity_id": k % 10, "activity_rule_id": k}, s + k % 8),
+        change_rows(bought.where(k % 3 == 0), "order_detail_coupon", "insert",
+                    {"order_detail_id": "event_id", "coupon_id": k % 100}, s - k % 7),
+        change_rows(bought.where(k % 4 == 0), "order_info", "update", {**order, "order_status": F.lit("1003")}, s + k * 20,
+                    {"order_status": F.lit("1001")}),
+        change_rows(viewed, "refund_payment", "update", {**refund, "refund_status": F.lit("1602")}, s, {"refund_status": F.lit("0701")}),
+        change_rows(viewed, "order_refund_info", "update",
+                    {"order_id": "event_id", "sku_id": k, "refund_num": F.lit(1), "refund_status": F.lit("0705")}, s + k % 8,
+                    {"refund_status": F.lit("0701")}),
+        change_rows(viewed, "order_info", "update", {**order, "order_status": F.lit("1006")}, s - k % 7, {"order_status": F.lit("1005")}),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def closing_moments(at: datetime) -> list[dict]:
+    """One far-future row for every kind of change in ``trade_moments``, each of its own order, so that all of them move on."""
+    kinds = [
+        ("order_detail", "insert", {}, None),
+        ("order_info", "insert", {"order_status": "1001"}, None),
+        ("order_detail_activity", "insert", {}, None),
+        ("order_detail_coupon", "insert", {}, None),
+        ("order_info", "update", {"order_status": "1003"}, {"order_status": "1001"}),
+        ("refund_payment", "update", {"refund_status": "1602"}, {"refund_status": "0701"}),
+        ("order_refund_info", "update", {"refund_status": "0705"}, {"refund_status": "0701"}),
+        ("order_info", "update", {"order_status": "1006"}, {"order_status": "1005"}),
+    ]
+    return [
+        {"database": DATABASE, "table": table, "type": kind, "old": old, "ts": 0, "et": at,
+         "data": {**data, **dict.fromkeys(("id", "order_id", "order_detail_id", "sku_id"), f"end {k}")}}
+        for k, (table, kind, data, old) in enumerate(kinds)
+    ]
+
+
 PROFILE_VALUE = "user_id string, k string, kind string"
 
 
