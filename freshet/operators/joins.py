@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from freshet.operators.rule_log import in_force
 from freshet.operators.skew import skew_join
 
 #: Over how many parts a stream join spreads the rows of one key; the other side's rows are kept that often.
@@ -135,3 +136,20 @@ def lookup(df: DataFrame, dictionary: DataFrame, code: str, name: str) -> DataFr
         F.col("dic_code").alias(code), F.col("info.dic_name").alias(name)
     )
     return df.join(entries, code, "inner")
+
+
+def dictionary_versions_of(changes: DataFrame) -> DataFrame:
+    """One row per code with its ``versions`` (``since`` in milliseconds, ``op``, ``dic_name``), oldest first.
+
+    ``changes`` has ``dic_code, dic_name, op, ts_ms, seq``; a ``d`` removes a code.
+    """
+    version = F.struct(F.col("ts_ms").alias("since"), "seq", "op", "dic_name")
+    return changes.groupBy("dic_code").agg(F.array_sort(F.collect_list(version)).alias("versions"))
+
+
+def lookup_at(df: DataFrame, versions: DataFrame, code: str, name: str, ts: str = "ts") -> DataFrame:
+    """``lookup`` with the name that held at each row's time ``ts`` (seconds), so a renamed code changes later rows only."""
+    entries = versions.withColumnsRenamed({"dic_code": code, "versions": "_versions"})
+    at = F.col(ts).cast("bigint") * 1000
+    found = df.join(entries, code, "inner").withColumn("_now", in_force("_versions", at)).where(F.col("_now").isNotNull())
+    return found.withColumn(name, F.col("_now.dic_name")).drop("_versions", "_now")

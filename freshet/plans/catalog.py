@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from freshet.functions import times
 from freshet.functions.text import register_kw_split
-from freshet.operators import dimension, log_split, pattern, routing, rule_log, visits
+from freshet.operators import dimension, joins, log_split, pattern, routing, rule_log, visits
 from freshet.operators.joins import interval_join
 from freshet.operators.ordered import number_chunk
 from freshet.plans import facts, summaries
-from freshet.schemas import BEHAVIOR, CHANGE, DIM_RULE, FACT_RULE, METRIC_EVENT, SHOP_EVENT
+from freshet.schemas import BEHAVIOR, CHANGE, DICTIONARY_ENTRY, DIM_RULE, FACT_RULE, METRIC_EVENT, SHOP_EVENT
 from freshet.session import run_dir
 from freshet.sources import jsonlines, logs, snapshots, tables
 from freshet.streaming import sinks
@@ -169,6 +169,16 @@ def comment_lookup(spark, sf_dir):
     return facts.comment_info(changes, tables.nation_dictionary(spark, sf_dir))
 
 
+def comment_lookup_at(spark, sf_dir):
+    """Comments with the name their rating had at the comment's time, while codes are renamed and removed."""
+    nation = tables.read_table(spark, sf_dir, "nation")
+    changes = tables.comment_changes(tables.read_table(spark, sf_dir, "documents"))
+    lines = tables.dictionary_events(nation).select("value", F.lit(None).cast("bigint").alias("seq"))
+    first = nation.select(F.col("n_nationkey").cast("string").alias("dic_code"), F.col("n_name").alias("dic_name"))
+    known = snapshots.rule_changes(lines, DICTIONARY_ENTRY).unionByName(rule_log.as_changes(first))
+    return facts.comment_info(changes, joins.dictionary_versions_of(known)).drop("comment_txt")
+
+
 def cart_add(spark, sf_dir):
     return facts.cart_add(tables.cart_changes(tables.read_table(spark, sf_dir, "events")))
 
@@ -453,6 +463,7 @@ QUERIES: dict[str, Query] = {
         order_refund,
         refund_payment,
         comment_lookup,
+        comment_lookup_at,
         cart_add,
         new_visitor_fix,
         log_split_start,

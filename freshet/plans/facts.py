@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from freshet.functions.amounts import line_amount
 from freshet.functions.times import date_of_text
 from freshet.operators import filters
-from freshet.operators.joins import fact_join, interval_join, lookup
+from freshet.operators.joins import fact_join, interval_join, lookup, lookup_at
 from freshet.schemas import ORDER_DETAIL_FACT
 
 DATABASE = "gmall"
@@ -262,14 +262,18 @@ def refund_payment_success(
 def comment_info(
     changes: DataFrame, dictionary: DataFrame, database: str = DATABASE
 ) -> DataFrame:
-    """New comments with the name of their rating."""
+    """New comments with the name of their rating.
+
+    A dictionary with ``versions`` (see ``joins.dictionary_versions_of``) names a rating as it was called at the row's time.
+    """
     comments = filters.inserts(
         changes,
         database,
         "comment_info",
         _same("id", "user_id", "sku_id", "appraise", "comment_txt", "create_time"),
     )
-    return lookup(comments, dictionary, "appraise", "appraise_name").select(
+    find = lookup_at if "versions" in dictionary.columns else lookup
+    return find(comments, dictionary, "appraise", "appraise_name").select(
         "id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts"
     )
 

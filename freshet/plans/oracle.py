@@ -396,6 +396,18 @@ ORACLE_SQL: dict[str, str] = {
                n_name AS appraise_name, text AS comment_txt, doc_id + 1704067200 AS ts
         FROM documents JOIN nation ON n_nationkey = n_chars % 30
     """,
+    "comment_lookup_at": f"""
+        WITH n AS (
+            SELECT *, 10 * (n_nationkey + 1) AS since,
+                   CASE WHEN n_nationkey % 7 = 3 THEN 'd' WHEN n_nationkey % 2 = 0 THEN 'u' END AS op
+            FROM nation)
+        SELECT {_text('doc_id')} AS id, {_text('doc_id % 150')} AS user_id,
+               {_text('n_chars % 2000')} AS sku_id, {_text('n_chars % 30')} AS appraise,
+               CASE WHEN op = 'u' AND doc_id >= since THEN 'NEW ' || n_name ELSE n_name END AS appraise_name,
+               doc_id + 1704067200 AS ts
+        FROM documents JOIN n ON n_nationkey = n_chars % 30
+        WHERE op IS DISTINCT FROM 'd' OR doc_id < since
+    """,
     "cart_add": f"""
         SELECT {_text('event_id')} AS id, {_text('user_id')} AS user_id, {_text('k')} AS sku_id,
                CASE WHEN added THEN num ELSE CAST(k AS INTEGER) END AS sku_num,
@@ -666,6 +678,7 @@ for _name in (
     "dim_upsert",
     "rules_change",
     "dim_lifecycle",
+    "comment_lookup_at",
 ):
     ORACLE_SQL[f"stream_{_name}"] = ORACLE_SQL[_name]
 

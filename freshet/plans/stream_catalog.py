@@ -243,6 +243,32 @@ def stream_dim_lifecycle(spark, sf_dir):
     return live.select("sink_table", "row_key", "col", "value")
 
 
+def stream_comment_lookup_at(spark, sf_dir):
+    """The same while it runs: documents arrive in four slices, each with the dictionary changes of its time."""
+
+    def feed(documents, entries):
+        lines = tables.comment_changes(documents)
+        return ruled.fed(
+            lines.select(F.to_json(F.struct("database", "table", "type", "data", "old", "ts")).alias("value")),
+            entries.select("value"),
+        )
+
+    out = replay(
+        spark,
+        "comment_lookup_at",
+        f"{sf_dir}/[d]ocuments.parquet",
+        [],
+        feed,
+        writer=lambda path: ruled.by_dictionary_of_the_time(
+            path, lambda: tables.nation_dictionary(spark, sf_dir), facts.comment_info, sinks.to_parquet(f"{path}/rows")
+        ),
+        time="doc_id",
+        batches=4,
+        beside={"entries": tables.dictionary_events(tables.read_table(spark, sf_dir, "nation"))},
+    )
+    return spark.read.parquet(f"{out}/rows").drop("batch_id", "comment_txt")
+
+
 STREAM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -259,5 +285,6 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_order_detail_moments,
         stream_order_cancel_moments,
         stream_refund_payment_moments,
+        stream_comment_lookup_at,
     )
 }

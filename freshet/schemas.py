@@ -42,6 +42,9 @@ DICTIONARY = T.StructType(
     ]
 )
 
+# A row of the dictionary table, as its changes are captured.
+DICTIONARY_ENTRY = T.StructType(_strings("dic_code", "dic_name"))
+
 DIM_RULE = T.StructType(
     _strings("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
 )

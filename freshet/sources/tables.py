@@ -548,6 +548,18 @@ def nation_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.dictionary(read_table(spark, sf_dir, "nation"), "n_nationkey", "n_name")
 
 
+def dictionary_events(nation: DataFrame) -> DataFrame:
+    """A rename of every second code and a removal of every seventh while the documents come, as captured lines."""
+    number = F.col("n_nationkey").cast("bigint")
+    op = F.when(number % 7 == 3, "d").when(number % 2 == 0, "u")
+    entry = [F.col("n_nationkey").cast("string").alias("dic_code")]
+    before = F.struct(*entry, F.col("n_name").alias("dic_name"))
+    after = F.struct(*entry, F.concat(F.lit("NEW "), F.col("n_name")).alias("dic_name"))
+    seconds = F.lit(1_704_067_200) + 10 * (number + 1)
+    line = F.to_json(F.struct(op.alias("op"), before.alias("before"), F.when(op != "d", after).alias("after"), (seconds * 1000).alias("ts_ms")))
+    return nation.where(op.isNotNull()).select(line.alias("value"), (seconds - 1_704_067_200).alias("doc_id"))
+
+
 def behavior_rows(events: DataFrame) -> DataFrame:
     """Events as behaviour-log records; ``seq`` is the arrival number."""
     events = events.withColumn("_k", event_number())

@@ -38,6 +38,7 @@ SHOP_EVENTS = "ecommerce-events"
 METRIC_EVENTS = "metric-events"
 DIM_RULES = "table_process_dim"
 FACT_RULES = "table_process_dwd"
+DICTIONARY = "base_dic"
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,8 @@ class Job:
     start_from: str = "latest"
     # The kind of rules that route the job's micro-batches, if any.
     ruled: ruled.Kind | None = None
+    # A job without state of its own that looks names up as they were at a row's time, done per micro-batch.
+    dated: Callable[[DataFrame, DataFrame, str], DataFrame] | None = None
 
 
 def _changes(lines: Lines) -> DataFrame:
@@ -119,7 +122,8 @@ def refund_payment_success(lines: Lines, context: Context) -> DataFrame:
 
 
 def comment_info(lines: Lines, context: Context) -> DataFrame:
-    return facts.comment_info(_changes(lines), context.dictionary(), context.database)
+    """Change rows and dictionary changes; ``writer_of`` looks names up batch by batch."""
+    return ruled.fed(lines(BUSINESS_DB), lines(DICTIONARY))
 
 
 def cart_add(lines: Lines, context: Context) -> DataFrame:
@@ -186,7 +190,9 @@ JOBS: dict[str, Job] = {
     "dwd_trade_refund_payment_success": Job(
         refund_payment_success, "dwd_trade_refund_payment_success"
     ),
-    "dwd_interaction_comment_info": Job(comment_info, "dwd_interaction_comment_info"),
+    "dwd_interaction_comment_info": Job(
+        comment_info, "dwd_interaction_comment_info", dated=facts.comment_info
+    ),
     CART_ADD: Job(cart_add, CART_ADD),
     "dws_traffic_source_keyword_page_view_window": Job(keywords),
     "dws_traffic_page_view_window": Job(page_views),
@@ -216,6 +222,11 @@ def writer_of(name: str, folder: str, context: Context, writer: sinks.BatchWrite
     job = JOBS[name]
     if job.topic is not None:
         writer = sinks.after(lambda rows: messages(name, rows), writer)
+    if job.dated is not None:
+        def step(rows: DataFrame, names: DataFrame) -> DataFrame:
+            return job.dated(rows, names, context.database)
+
+        return ruled.by_dictionary_of_the_time(folder, context.dictionary, step, writer)
     if job.ruled is None:
         return writer
     return ruled.by_rules_in_force(job.ruled, folder, context.rules, context.database, writer)
@@ -232,17 +243,18 @@ def start(
     rows where they do not go to a topic."""
     use_rocksdb(spark)
     job = JOBS[name]
+    by_batch = job.ruled is not None or job.dated is not None
 
     def lines(topic: str) -> DataFrame:
         # a rule change counts from its time on, however long ago, so its topic is read from the start
-        begin = "earliest" if topic in (DIM_RULES, FACT_RULES) else job.start_from
+        begin = "earliest" if topic in (DIM_RULES, FACT_RULES, DICTIONARY) else job.start_from
         options = kafka.read_options(servers, topic, name, begin)
-        return kafka.read_topic(spark, options, numbered=job.ruled is not None)
+        return kafka.read_topic(spark, options, numbered=by_batch)
 
     rows = job.build(lines, context)
     state = f"{folder}/state"
     target = None if job.topic == "topic" else job.topic
-    if job.topic is not None and job.ruled is None:
+    if job.topic is not None and not by_batch:
         return (
             messages(name, rows)
             .writeStream.format("kafka")

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.operators import rule_log
-from freshet.schemas import CHANGE, DIM_RULE, FACT_RULE
+from freshet.operators import joins, rule_log
+from freshet.schemas import CHANGE, DICTIONARY_ENTRY, DIM_RULE, FACT_RULE
 from freshet.sources import logs, snapshots
 from freshet.sources.jsonlines import parse
 from freshet.streaming.run_store import RunStore
@@ -85,3 +85,38 @@ def by_rules_in_force(
             batch.unpersist()
 
     return write
+
+
+def by_dictionary_of_the_time(
+    folder: str,
+    entries: Callable[[], DataFrame] | None,
+    job: Callable[[DataFrame, DataFrame], DataFrame],
+    writer: BatchWriter,
+) -> BatchWriter:
+    """``job`` over each batch of ``fed`` lines with the dictionary's versions known by then.
+
+    The second feed brings captured changes of the dictionary table.  They are kept in the job's folder like rule
+    changes; ``entries`` is read once, before the first batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store = RunStore(batch.sparkSession, f"{folder}/dictionary", lambda rows: rows.coalesce(1))
+        batch.persist()
+        try:
+            lines = batch.where(F.col("feed") == RULES).select("value", "seq")
+            changes = snapshots.rule_changes(lines, DICTIONARY_ENTRY)
+            if entries is not None and not store.manifest()["runs"]:
+                first = entries().select("dic_code", F.col("info.dic_name").alias("dic_name"))
+                store.append(rule_log.as_changes(first).select(*changes.columns).coalesce(1), -1)
+            if not changes.isEmpty():
+                store.append(changes.coalesce(1), batch_id)
+            known = store.read()
+            if known is None:
+                return
+            rows = parse(batch.where(F.col("feed") == ROWS).select("value", "seq"), CHANGE)
+            rows = logs.with_times(rows.where(F.col("table").isNotNull()))
+            writer(job(rows, joins.dictionary_versions_of(known)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write

@@ -1,11 +1,13 @@
 """The fact jobs on a small hand-made change log, as a batch and as a stream."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from freshet.operators import joins
 from freshet.plans import facts
 from freshet.sources import logs
 from freshet.streaming import sinks
@@ -222,3 +224,32 @@ def test_refund_payment_stream_equals_batch(spark, tmp_path, dictionary):
         spark, tmp_path, lambda changes: facts.refund_payment_success(changes, dictionary), "refund"
     )
     assert rows(got, "id", "user_id", "refund_num") == [("rp1", "u1", "2")]
+
+
+def test_lookup_at_takes_the_name_of_the_rows_time(spark):
+    known = spark.createDataFrame(
+        [("1", "old", "r", -(2**63), -1), ("1", "new", "u", 10_000, 1), ("2", "two", "r", -(2**63), -1), ("2", None, "d", 20_000, 2)],
+        "dic_code string, dic_name string, op string, ts_ms bigint, seq bigint",
+    )
+    versions = joins.dictionary_versions_of(known)
+    data = spark.createDataFrame([("1", 9), ("1", 10), ("2", 19), ("2", 20), ("3", 1), (None, 1), ("1", None)], "code string, ts bigint")
+    got = joins.lookup_at(data, versions, "code", "name")
+    assert rows(got, "code", "ts", "name") == sorted(
+        [("1", 9, "old"), ("1", 10, "new"), ("2", 19, "two"), ("1", None, "new")], key=repr)
+
+
+def test_stream_join_spreads_hot_and_null_keys(spark, tmp_path):
+    base = datetime(2024, 1, 1)
+    left = [(k, "hot" if k % 2 else None, base) for k in range(200)] + [(-1, "end", datetime(2100, 1, 1))]
+    right = [("hot", "r1", base), ("hot", "late", datetime(2024, 1, 1, 0, 0, 6)), ("end2", "x", datetime(2100, 1, 1))]
+    spark.createDataFrame(left, "id int, k string, et timestamp").write.parquet(str(tmp_path / "l"))
+    spark.createDataFrame(right, "k string, v string, et timestamp").write.parquet(str(tmp_path / "r"))
+
+    def read(name, schema):
+        return spark.readStream.schema(schema).parquet(str(tmp_path / name)).withWatermark("et", "1 second")
+
+    for how, want in (("inner", [(k, "r1") for k in range(1, 200, 2)]), ("left", [(k, "r1" if k % 2 else None) for k in range(200)])):
+        joined = joins.fact_join(read("l", "id int, k string, et timestamp"), read("r", "k string, v string, et timestamp"), ["k"], how, bound_seconds=5)
+        out = str(tmp_path / how)
+        sinks.start(joined.select("id", "v"), f"{out}-state", sinks.to_parquet(out)).awaitTermination()
+        assert rows(spark.read.parquet(out), "id", "v") == sorted(want, key=repr)
