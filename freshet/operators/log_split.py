@@ -16,9 +16,7 @@ def repair_new_visitors(log: DataFrame, order: list[str]) -> DataFrame:
     """Sets ``is_new`` to 0 where a device was first seen on another day."""
     firsts = new_visitor_first_days(log, order)
     keyed = log.withColumn("_mid", F.col("common")["mid"])
-    joined = skew_join(
-        keyed, firsts, ["_mid"], "left", sample_of=log.select(F.col("common")["mid"].alias("_mid"))
-    )
+    joined = skew_join(keyed, firsts.drop("_n"), ["_mid"], "left", counts=firsts.select("_mid", "_n"))
     day = F.to_date(F.timestamp_millis("ts"))
     wrong = (F.col("common")["is_new"] == "1") & (day != F.col("_first_day"))
     fixed = F.transform_values(

@@ -22,18 +22,23 @@ ROWS_PER_TASK = 1_000_000
 NULL_SPREAD = 4096
 
 
+def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _hot(counts: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    return counts.where(F.col("_n") > rows_per_task).select(
+        *keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts")
+    )
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
     """Hot keys and over how many sub-keys to spread each (``_parts``).
 
     Each stands for more than ``rows_per_task`` rows, so there are fewer of them
     than rows / ``rows_per_task``; how they are joined is left to their measured bytes.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_task)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts"))
-    )
+    return _hot(_counted(df, keys), keys, rows_per_task)
 
 
 def _hashable(kind: T.DataType) -> bool:
@@ -57,18 +62,22 @@ def skew_join(
     how: str = "inner",
     *,
     sample_of: DataFrame | None = None,
+    counts: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join on ``keys``, equal to ``heavy.join(light, keys, how)``.
 
     ``how`` is ``inner`` or ``left``.  ``sample_of`` is a cheaper frame with
     the same key columns to count in, such as the bare scan below a long plan;
-    it should hold about as many rows per key as ``heavy``.
+    it should hold about as many rows per key as ``heavy``.  ``counts`` (keys and ``_n``) saves
+    the count where the plan has it already.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot copy the light side of a {how} join")
     keys = list(keys)
-    hot = hot_keys(heavy if sample_of is None else sample_of, keys, rows_per_task)
+    if counts is None:
+        counts = _counted(heavy if sample_of is None else sample_of, keys)
+    hot = _hot(counts, keys, rows_per_task)
     no_key = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
     part = F.when(F.col("_parts").isNotNull(), _spread(heavy, F.col("_parts")))
     if how == "left":

@@ -17,8 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from freshet.functions.packing import packed_order
 from freshet.operators.ordered import neighbour_value
 
+#: More than there are days.
+_DAYS = 1_000_000
+
 
 def day_of(ts: Column | str) -> Column:
     ts = F.col(ts) if isinstance(ts, str) else ts
@@ -75,17 +79,21 @@ def is_returning(min_gap_days: int) -> Column:
 
 
 def new_visitor_first_days(log: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Per device the day it counts as first seen.
+    """Per device (``_mid``) the day it counts as first seen, ``_first_day``, and its number of rows, ``_n``.
 
-    The first row decides: a new visitor's own day, or the day before for a
-    device that was already old.
+    The first row with a visitor flag decides: a new visitor's own day, or the day before for a device that was already
+    old; without one the day is null.  Order, flag and day are one number, so this is a hash aggregate over one scan.
     """
     flag = F.col("common")["is_new"]
-    day = F.to_date(F.timestamp_millis("ts"))
-    first_day = F.when(flag == "1", day).otherwise(F.date_sub(day, 1))
+    day = F.unix_date(F.to_date(F.timestamp_millis("ts")))
+    first_day = F.when(flag == "1", day).otherwise(day - 1).cast("decimal(38,0)")
+    # times in milliseconds take 43 bits; with the second order column (64) and the day (20) they stay below 10^38
+    days = F.lit(_DAYS).cast("decimal(7,0)")
+    packed = (packed_order(log, order) * days + first_day + F.lit(_DAYS // 2)).cast("decimal(38,0)")
+    decides = flag.isin("0", "1") & F.col(order[0]).isNotNull()
     return (
-        log.where(flag.isin("0", "1"))
-        .select(F.col("common")["mid"].alias("_mid"), *order, first_day.alias("_day"))
+        log.select(F.col("common")["mid"].alias("_mid"), F.when(decides, packed).alias("_p"))
         .groupBy("_mid")
-        .agg(F.min_by("_day", F.struct(*order)).alias("_first_day"))
+        .agg(F.min("_p").alias("_p"), F.count(F.lit(1)).alias("_n"))
+        .select("_mid", F.date_from_unix_date((F.pmod("_p", days) - F.lit(_DAYS // 2)).cast("int")).alias("_first_day"), "_n")
     )

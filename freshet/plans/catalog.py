@@ -124,18 +124,13 @@ def order_detail_wide(spark, sf_dir):
 
 def order_cancel(spark, sf_dir):
     log = tables.trade_log(spark, sf_dir, tables.order_updates, *tables.DETAIL_CHANGES)
-    return facts.order_cancel(log, facts.order_detail(log), lines=facts.order_lines(log))
+    return facts.order_cancel_of_log(log)
 
 
 def payment_interval(spark, sf_dir):
     log = tables.trade_log(spark, sf_dir, tables.payment_updates, *tables.DETAIL_CHANGES)
-    return facts.payment_success(
-        log,
-        facts.order_detail(log),
-        tables.nation_dictionary(spark, sf_dir),
-        lower_seconds=30 * DAY_SECONDS,
-        lines=facts.order_lines(log),
-    )
+    names = tables.nation_dictionary(spark, sf_dir)
+    return facts.payment_success_of_log(log, names, lower_seconds=30 * DAY_SECONDS)
 
 
 def payment_interval_minutes(spark, sf_dir):

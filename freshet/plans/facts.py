@@ -7,6 +7,8 @@ streams; ``fact_join`` picks the join that fits.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,20 @@ def _same(*names: str) -> dict[str, str]:
     return {name: name for name in names}
 
 
-def order_detail(changes: DataFrame, database: str = DATABASE) -> DataFrame:
+def order_detail(
+    changes: DataFrame,
+    database: str = DATABASE,
+    *,
+    lines_of: Callable[[DataFrame], DataFrame] | None = None,
+    orders_of: Callable[[DataFrame], DataFrame] | None = None,
+    carried: Sequence[str] = (),
+    sample_of: DataFrame | None = None,
+) -> DataFrame:
     """Order lines with their order, and activity and coupon where there is one.
 
-    Carries ``et`` behind the fact columns for the jobs that read it next.
+    Carries ``et`` behind the fact columns for the jobs that read it next.  A job over stored tables that needs few of
+    the details leaves the rest out before they are made wide: ``lines_of`` and ``orders_of`` join the bare lines or the
+    orders with what it looks for, whose columns ``carried`` then come along.
     """
     lines = (
         filters.inserts(
@@ -63,6 +75,9 @@ def order_detail(changes: DataFrame, database: str = DATABASE) -> DataFrame:
         "order_info",
         {"order_id": "id", "user_id": "user_id", "province_id": "province_id"},
     )
+    sample = lines.select("order_id") if sample_of is None else sample_of
+    lines = lines if lines_of is None else lines_of(lines)
+    orders = orders if orders_of is None else orders_of(orders)
     activities = filters.inserts(
         changes,
         database,
@@ -77,8 +92,7 @@ def order_detail(changes: DataFrame, database: str = DATABASE) -> DataFrame:
         {"id": "order_detail_id", "coupon_id": "coupon_id"},
     )
     wide = fact_join(
-        lines, orders, ["order_id"], bound_seconds=REORDER_SECONDS,
-        sample_of=lines.select("order_id"),
+        lines, orders, ["order_id"], bound_seconds=REORDER_SECONDS, sample_of=sample,
     )
     wide = fact_join(
         wide, activities, ["id"], "left", bound_seconds=REORDER_SECONDS, left_unique=True
@@ -87,7 +101,7 @@ def order_detail(changes: DataFrame, database: str = DATABASE) -> DataFrame:
         wide, coupons, ["id"], "left", bound_seconds=REORDER_SECONDS, left_unique=True
     )
     return wide.withColumn("date_id", date_of_text("create_time")).select(
-        *ORDER_DETAIL_FACT.names, "et"
+        *[name for name in ORDER_DETAIL_FACT.names if name not in carried], "et", *carried
     )
 
 
@@ -106,7 +120,29 @@ def order_cancel(
 
     ``lines`` saves building ``details`` twice where they are not a stored table.
     """
-    cancels = filters.transitions(
+    joined = fact_join(
+        details.drop("ts"), _cancels(changes, database), ["order_id"], bound_seconds=CANCEL_SECONDS,
+        sample_of=details if lines is None else lines,
+    )
+    return _cancelled(joined)
+
+
+def order_cancel_of_log(changes: DataFrame, database: str = DATABASE) -> DataFrame:
+    """``order_cancel`` of a stored log that holds the details too.
+
+    Orders are first joined with their cancellation, so only cancelled lines are made wide, and the lines are
+    shuffled by order once.
+    """
+
+    def cancelled(orders: DataFrame) -> DataFrame:
+        cancels = _cancels(changes, database).drop("et", "ts")
+        return fact_join(orders, cancels, ["order_id"], bound_seconds=CANCEL_SECONDS, left_unique=True)
+
+    return _cancelled(order_detail(changes, database, orders_of=cancelled, carried=["operate_time", "cancel_ts"]))
+
+
+def _cancels(changes: DataFrame, database: str) -> DataFrame:
+    return filters.transitions(
         changes,
         database,
         "order_info",
@@ -115,10 +151,9 @@ def order_cancel(
         ORDER_CANCELLED,
         ORDER_CREATED,
     ).withColumn("cancel_ts", F.col("ts"))
-    joined = fact_join(
-        details.drop("ts"), cancels, ["order_id"], bound_seconds=CANCEL_SECONDS,
-        sample_of=details if lines is None else lines,
-    )
+
+
+def _cancelled(joined: DataFrame) -> DataFrame:
     return joined.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id",
         "activity_id", "activity_rule_id", "coupon_id",
@@ -163,6 +198,33 @@ def payment_success(
     joined = interval_join(
         payments, placed, ["order_id"], lower_seconds, upper_seconds, sample_of=lines
     )
+    return _paid(joined, dictionary)
+
+
+def payment_success_of_log(
+    changes: DataFrame,
+    dictionary: DataFrame,
+    database: str = DATABASE,
+    lower_seconds: int = PAY_BEFORE_SECONDS,
+    upper_seconds: int = PAY_AFTER_SECONDS,
+) -> DataFrame:
+    """``payment_success`` of a stored log that holds the details too: payments meet the bare lines by order and time,
+    and only what they meet is made wide."""
+    payments = paid_orders(changes, database).drop("user_id").withColumnRenamed("ts", "paid_ts")
+
+    def paid(lines: DataFrame) -> DataFrame:
+        placed = lines.drop("ts").withColumnRenamed("et", "right_et")
+        return interval_join(
+            payments, placed, ["order_id"], lower_seconds, upper_seconds,
+            sample_of=order_lines(changes, database).withColumnRenamed("et", "right_et"),
+        ).withColumn("ts", F.col("paid_ts"))
+
+    carried = ["payment_type_code", "callback_time", "paid_ts"]
+    wide = order_detail(changes, database, lines_of=paid, carried=carried)
+    return _paid(wide.drop("ts", "et").withColumnRenamed("paid_ts", "ts"), dictionary)
+
+
+def _paid(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
     named = lookup(joined, dictionary, "payment_type_code", "payment_type_name")
     return named.select(
         F.col("id").alias("order_detail_id"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from freshet.functions.packing import packed_order
 from freshet.functions.text import tokens
 from freshet.functions.times import COMPACT_DATE, window_labels
 from freshet.operators import visits
@@ -107,13 +108,13 @@ def page_facts(pages: DataFrame, order: list[str]) -> DataFrame:
 
 
 def session_starts(facts: DataFrame, order: list[str], keep: list[str], ttl_seconds: int = 3600) -> DataFrame:
-    """The rows that start a session: ``order``, ``keep`` and ``micros``.
+    """The rows that start a session: ``order``, ``keep`` and ``micros``; ``facts`` has ``et``, or panes as ``window``.
 
     A session starts with its first row; its mark holds for ``ttl_seconds``, and the first row after that starts it
     again.  Once per five seconds the session's earliest row decides, so a session is folded over as many rows as it has
     such panes, and in one pass over them.
     """
-    pane = F.window("et", "5 seconds").alias("_pane")
+    pane = (F.col("window") if "window" in facts.columns else F.window("et", "5 seconds")).alias("_pane")
     fields = list(dict.fromkeys([*order, "micros", *keep]))
     firsts = facts.groupBy("sid", pane).agg(F.min(F.struct(*fields)).alias("_row"))
     ordered = firsts.groupBy("sid").agg(F.array_sort(F.collect_list("_row")).alias("_rows"))
@@ -135,16 +136,28 @@ def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
     """Visitors, sessions, views and time spent per version, channel, area and
     visitor kind, per 5 s.
 
-    The three kinds of count are taken separately, each with its own partial
-    aggregation, and added up per window.
+    Rows are counted per window, device and session first; the first ones of a day and of a session are then looked
+    for among these counts, and added up per window.
     """
     facts = page_facts(pages, order)
     if facts.isStreaming:
         return _page_views_of_stream(facts, order)
 
+    # One scan: all three counts go on from the same panes, whose exchange Spark makes once.
+    panes = (
+        facts.withColumn("_order", packed_order(facts, order))
+        .groupBy(F.window("et", "5 seconds").alias("window"), "mid", "sid", *PAGE_DIMENSIONS)
+        .agg(
+            F.count(F.lit(1)).alias("pv"),
+            F.sum("during_time").alias("during"),
+            F.min("_order").alias("_order"),
+            F.min("micros").alias("micros"),
+        )
+    )
+
     def part(rows: DataFrame, uv: Column, sv: Column, pv: Column, dur: Column) -> DataFrame:
         zero = F.lit(0).cast("bigint")
-        return rows.groupBy(F.window("et", "5 seconds").alias("window"), *PAGE_DIMENSIONS).agg(
+        return rows.groupBy("window", *PAGE_DIMENSIONS).agg(
             *[
                 F.coalesce(F.sum(value), zero).cast("bigint").alias(name)
                 for name, value in (
@@ -154,13 +167,11 @@ def page_views(pages: DataFrame, order: list[str]) -> DataFrame:
         )
 
     one, none = F.lit(1), F.lit(0)
-    by_day = visits.first_rows(
-        facts.withColumn("_day", visits.day_of("et")), ["mid", "_day"], order,
-        ["et", *PAGE_DIMENSIONS],
-    )
-    by_session = session_starts(facts, order, ["et", *PAGE_DIMENSIONS])
+    kept = ["window", *PAGE_DIMENSIONS]
+    by_day = visits.first_rows(panes, ["mid", visits.day_of(F.col("window.start"))], ["_order"], kept)
+    by_session = session_starts(panes, ["_order"], kept)
     added = (
-        part(facts, none, none, one, F.col("during_time"))
+        part(panes, none, none, F.col("pv"), F.col("during"))
         .unionByName(part(by_day, one, none, none, none))
         .unionByName(part(by_session, none, one, none, none))
     )

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS = {
+    # The warehouse's own time; tables of zone-less times are read in UTC instead.
+    "spark.sql.session.timeZone": "Asia/Shanghai",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -30,7 +35,18 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    _ship(spark)
+    return spark
+
+
+def _ship(spark: SparkSession) -> None:
+    """Hands this package to the Python workers, which may run in another folder or on another machine."""
+    here = Path(__file__).resolve().parent
+    if any("freshet" in name for name in spark.sparkContext.listFiles):
+        return
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/freshet", "zip", here.parent, here.name)
+    spark.sparkContext.addPyFile(archive)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,7 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir is not set; name a folder there that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="freshet-")
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from freshet.functions.packing import packed_order
 from freshet.operators import log_split
 from freshet.operators.dimension import cells, covered_dropped, latest_cells, live_cells
 from freshet.operators.rule_log import of_living_tables
@@ -53,30 +54,16 @@ def as_messages(
     return df.select(*columns, value.alias("value"))
 
 
-def _packed(order: Sequence[str], rest: Sequence[str]) -> Column:
-    """One or two numbers or times as one number of fixed width, so that its largest needs no sorting to find.
-
-    Without a second one, rows of equal order are told apart by their hash.
-    """
-    if len(order) > 2:
-        raise ValueError("at most a time and a number make an order")
-
-    def whole(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("bigint"), F.lit(-(2**62))).cast("decimal(20,0)")
-
-    second = whole(order[1]) if len(order) == 2 else F.xxhash64(*rest).cast("decimal(20,0)")
-    return (whole(order[0]) * F.lit(str(2**64)).cast("decimal(20,0)") + second).cast("decimal(38,0)")
-
-
 def latest_by_key(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """An upsert log read as a table: each key's last row, unless it was removed.
 
-    ``removed`` marks tombstones.  ``order`` is a time or number (within 4.6 * 10^18 of zero, whole seconds of
-    timestamps) and, if need be, a second number that tells a key's rows apart; a row that is repeated counts once.  The
+    ``removed`` marks tombstones.  ``order`` is a time or number and, if need be, a second one that tells a key's rows
+    apart (without it their hash does); a row that is repeated counts once.  The
     newest order of each key is found by a hash aggregate over keys and order alone; whole rows only meet that.
     """
     rest = [c for c in changes.columns if c not in keys]
-    numbered = changes.withColumn("_order", _packed(order, rest))
+    tie = F.xxhash64(*rest) if len(order) == 1 else None
+    numbered = changes.withColumn("_order", packed_order(changes, order, tie))
     newest = numbered.groupBy(*keys).agg(F.max("_order").alias("_newest"))
     newest = newest.withColumnsRenamed({key: f"_n_{key}" for key in keys})
     same = F.col("_order") == F.col("_newest")
