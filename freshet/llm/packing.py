@@ -7,12 +7,13 @@ import zlib
 from bisect import bisect_right
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freshet.llm.common import lower_ascii, stored, table
+from freshet.llm.common import stored, table
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -26,52 +27,104 @@ _PIECES = T.StructType(
         T.StructField("ids_crc32", T.LongType()),
     ]
 )
-_LETTERS_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)\Z")
+_LETTERS_MARKS = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)\Z")
+
+
+class _Runs:
+    """Runs of ids in one growing array, by number."""
+
+    def __init__(self):
+        self.ids, self.begins, self.used, self.count = np.zeros(1 << 16, dtype=np.uint32), np.zeros(1 << 14, dtype=np.int64), 0, 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """More runs, given in a row with their lengths."""
+        used, count = self.used + len(ids), self.count + len(lengths)
+        if used > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(2 * used - self.used, dtype=np.uint32)])
+        if count >= len(self.begins):
+            self.begins = np.concatenate([self.begins[: self.count + 1], np.zeros(2 * count - self.count, dtype=np.int64)])
+        self.ids[self.used : used] = ids
+        self.begins[self.count + 1 : count + 1] = self.used + np.cumsum(lengths)
+        self.used, self.count = used, count
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these runs in a row, and their lengths."""
+        begins = self.begins[numbers]
+        lengths = self.begins[numbers + 1] - begins
+        before = np.cumsum(lengths) - lengths
+        return self.ids[np.repeat(begins - before, lengths) + np.arange(lengths.sum())], lengths
 
 
 class WordEncoder:
-    """Ids of a text as little-endian bytes, word by word from a bounded memory of words.
+    """Ids of many texts at once, from a bounded memory of words.
 
     The tokenizer drops white space, lower-cases, and merges neither across white space nor between a run of letters
     and the marks behind it. So a text's ids are those of its words in a row, and a word's those of its letters and
-    of its marks; apostrophes, which bind some letters, stay with their word.
+    of its marks; apostrophes, which bind some letters, and all but ASCII letters, whose lower case may bring marks with
+    it, stay with their word. A batch is split, its distinct words are found and its ids put in a row by array kernels.
     """
 
+    #: Stands between parts that are encoded together, as a pre-token and an id of its own.
+    BETWEEN = "|"
+
     def __init__(self, path: str, remembered: int = 2_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.between,) = self.tokenizer.encode(self.BETWEEN, add_special_tokens=False).ids
         self.remembered = remembered
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.parts: dict[str, int] = {"": 0}
+        self.words, self.pieces = _Runs(), _Runs()
+        self.pieces.add(np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+
+    def _learn(self, words: list[str]) -> None:
+        """Takes up new words: their new parts are encoded, a thousand in one text, and their ids joined from them."""
+        split = [(m[1].lower(), m[2]) if (m := _LETTERS_MARKS.match(word)) else (word, "") for word in words]
+        fresh = list({part for made in split for part in made if part not in self.parts})
+        plain = [part for part in fresh if self.BETWEEN not in part]
+        odd = [part for part in fresh if self.BETWEEN in part]
+        texts = [f" {self.BETWEEN} ".join(plain[k : k + 1000]) + f" {self.BETWEEN}" for k in range(0, len(plain), 1000)]
+        made = [np.array(code.ids, dtype=np.uint32) for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, dtype=np.uint32), *made])
+        stops = np.flatnonzero(ids == self.between)
+        self.pieces.add(np.delete(ids, stops), np.diff(stops, prepend=-1) - 1)
+        for part in odd:
+            own = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype=np.uint32)
+            self.pieces.add(own, np.array([len(own)]))
+        self.parts.update(zip([*plain, *odd], range(len(self.parts), len(self.parts) + len(fresh)), strict=True))
+        codes = np.array([(self.parts[a], self.parts[b]) for a, b in split], dtype=np.int64)
+        joined, lengths = self.pieces.take(codes.ravel())
+        self.words.add(joined, lengths.reshape(-1, 2).sum(axis=1))
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's begin and the last end); null counts as empty."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        coded = pc.list_flatten(words).dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if len(self.known) + len(names) > self.remembered:
+            self._forget()
+        if fresh := [name for name in names if name not in self.known]:
+            self._learn(fresh)
+        at = np.array([self.known[name] for name in names], dtype=np.int64)
+        ids, lengths = self.words.take(at[coded.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        borders = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
+        return ids, ends[borders]
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ")
-        if len(self.known) > self.remembered // 2:
-            self.known.clear()
-        if len(self.parts) > self.remembered:
-            self.parts.clear()
-        known, parts = self.known, self.parts
-        split = {}
-        for word in set(words).difference(known):
-            found = _LETTERS_MARKS.match(word)
-            if found:
-                split[word] = (found[1].lower() if found[1].isascii() else lower_ascii(found[1]), found[2])
-            else:
-                split[word] = (word,)
-        if split:
-            fresh = list({part for made in split.values() for part in made if part not in parts})
-            for part, code in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                parts[part] = np.array(code.ids, dtype="<u4").tobytes()
-            for word, made in split.items():
-                known[word] = b"".join([parts[part] for part in made])
-        return b"".join(map(known.__getitem__, words))
-
-
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+        return self.batch(pa.array([text]))[0].astype("<u4").tobytes()
+
+
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, together: int = 16 << 20) -> DataFrame:
     """One row per piece of a document: its ids and a closing 0, cut every ``capacity`` ids.
 
-    A null or empty text is the closing 0 alone. Repeated rows are repeated documents.
+    A null or empty text is the closing 0 alone. Repeated rows are repeated documents. Texts are encoded ``together``
+    bytes at a time, a longer one by itself.
     """
     if path is None:
         import public_tokenizers
@@ -79,19 +132,30 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -
         path = public_tokenizers.path(TOKENIZER)
 
     def cut(batches):
-        encode = WordEncoder(path)
+        encoder = WordEncoder(path)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.frombuffer(encode(text or "") + bytes(4), dtype="<u4")
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity]
-                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
-            made = pd.DataFrame(rows, columns=_PIECES.names)
-            yield made.astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(cut, _PIECES)
+            texts = batch.column("text")
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < len(batch):
+                done = size[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(size, done + together, side="right")))
+                yield made(encoder, batch.slice(first, last - first))
+                first = last
+
+    def made(encoder, some):
+        ids, borders = encoder.batch(some.column("text"))
+        rows = []
+        for k in range(len(some)):
+            own = np.append(ids[borders[k] : borders[k + 1]], 0).astype("<u4")
+            for piece, start in enumerate(range(0, len(own), capacity)):
+                part = own[start : start + capacity]
+                rows.append((k, piece, start, len(part), zlib.crc32(part)))
+        k, *rest = zip(*rows, strict=True)
+        columns = [some.column("doc_id").take(pa.array(k)), *[pa.array(c, t) for c, t in zip(rest, (pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]]
+        return pa.RecordBatch.from_arrays(columns, names=_PIECES.names)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, _PIECES)
 
 
 def best_two_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
@@ -199,16 +263,17 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) ->
         for batch in batches:
             sequence = np.zeros(len(batch), dtype=np.int64)
             offset = np.zeros(len(batch), dtype=np.int64)
-            rank = batch.pop("rank").to_numpy()
-            for length, rows in batch.groupby("length").indices.items():
+            rank, lengths = (batch.column(name).to_numpy() for name in ("rank", "length"))
+            for length in np.unique(lengths):
+                rows = np.flatnonzero(lengths == length)
                 first, begin, at = places[length]
                 k = np.searchsorted(first, rank[rows], side="right") - 1
                 sequence[rows] = begin[k] + rank[rows] - first[k]
                 offset[rows] = at[k]
-            batch["sequence_id"], batch["offset"] = sequence, offset
-            yield batch.astype({"doc_id": "Int64"})
+            columns = [batch.column(name) for name in _PIECES.names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], names=schema.names)
 
-    return ranked(made).select(*_PIECES.names, "rank").mapInPandas(place, schema)
+    return ranked(made).select(*_PIECES.names, "rank").mapInArrow(place, schema)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

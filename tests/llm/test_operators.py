@@ -348,3 +348,26 @@ def test_toxic_words_are_learned_and_held_out_rows_judged(spark):
     assert all(0 <= r.score < 0.7 for r in got if r.doc_id >= 240)
     none = toxicity.scored(docs, toxicity.train(docs, labels.limit(0))).collect()
     assert all(r.score < 0.7 for r in none)
+
+
+def test_words_of_any_letters_have_the_tokenizers_ids():
+    import random
+
+    import pyarrow as pa
+    import public_tokenizers
+
+    encoder = packing.WordEncoder(public_tokenizers.path(packing.TOKENIZER), remembered=3000)
+    draw, letters = random.Random(1), "abzZ İıiIŞßéÉ'’.,!-()|12\t\n\x0b\x0c\x1c\x85\xa0Σςσ́̇日本"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(14))) for _ in range(8000)]
+    texts += ["ALİ.", "Lİ, b", "It's", "we'LL", "a|b", "|", None, "x " * 3000]
+    for first in range(0, len(texts), 1500):
+        some = texts[first : first + 1500]
+        ids, borders = encoder.batch(pa.array(some))
+        for k, text in enumerate(some):
+            assert ids[borders[k] : borders[k + 1]].tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_packing_keeps_large_and_null_ids(spark):
+    docs = spark.createDataFrame([(2**53 + 1, "a b", 1), (None, "c", 2), (None, "c", 2), (2**53 + 1, None, 3)], "doc_id long, text string, rank int")
+    got = packing.pack(docs).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in got) == [(0, 2), (0, 2), (2**53 + 1, 1), (2**53 + 1, 3)]
