@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_right
 
@@ -27,7 +26,9 @@ _PIECES = T.StructType(
         T.StructField("ids_crc32", T.LongType()),
     ]
 )
-_LETTERS_MARKS = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)\Z")
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+#: ASCII marks but the apostrophe.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
 class _Runs:
@@ -56,18 +57,18 @@ class _Runs:
 
 
 class WordEncoder:
-    """Ids of many texts at once, from a bounded memory of words.
+    """Ids of many texts at once, from a bounded memory of the parts of words.
 
     The tokenizer drops white space, lower-cases, and merges neither across white space nor between a run of letters
     and the marks behind it. So a text's ids are those of its words in a row, and a word's those of its letters and
-    of its marks; apostrophes, which bind some letters, and all but ASCII letters, whose lower case may bring marks with
-    it, stay with their word. A batch is split, its distinct words are found and its ids put in a row by array kernels.
+    of its marks; apostrophes, which bind some letters, and all but ASCII words, whose lower case may bring marks with
+    it, stay whole. A batch is split, its distinct words are found and its ids put in a row by array kernels.
     """
 
     #: Stands between parts that are encoded together, as a pre-token and an id of its own.
     BETWEEN = "|"
 
-    def __init__(self, path: str, remembered: int = 2_000_000):
+    def __init__(self, path: str, remembered: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -76,45 +77,57 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.parts: dict[str, int] = {"": 0}
-        self.words, self.pieces = _Runs(), _Runs()
+        self.parts = pa.array([""], pa.large_string())
+        self.pieces = _Runs()
         self.pieces.add(np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
 
-    def _learn(self, words: list[str]) -> None:
-        """Takes up new words: their new parts are encoded, a thousand in one text, and their ids joined from them."""
-        split = [(m[1].lower(), m[2]) if (m := _LETTERS_MARKS.match(word)) else (word, "") for word in words]
-        fresh = list({part for made in split for part in made if part not in self.parts})
-        plain = [part for part in fresh if self.BETWEEN not in part]
-        odd = [part for part in fresh if self.BETWEEN in part]
-        texts = [f" {self.BETWEEN} ".join(plain[k : k + 1000]) + f" {self.BETWEEN}" for k in range(0, len(plain), 1000)]
+    def _numbers(self, names: pa.Array) -> np.ndarray:
+        """The numbers of parts; new ones are encoded, a thousand in one text."""
+        found = pc.index_in(names, value_set=self.parts)
+        if found.null_count:
+            missing = found.is_null()
+            unknown = names.filter(missing)
+            fresh = pc.unique(unknown)
+            odd = pc.match_substring(fresh, self.BETWEEN)
+            fresh = pa.concat_arrays([fresh.filter(pc.invert(odd)), fresh.filter(odd)])
+            self._learn(fresh.to_pylist(), len(fresh) - pc.sum(odd).as_py())
+            numbers = pc.add(pc.index_in(unknown, value_set=fresh), pa.scalar(len(self.parts), pa.int32()))
+            self.parts = pa.concat_arrays([self.parts, fresh])
+            found = pc.replace_with_mask(found, missing, numbers)
+        return found.to_numpy()
+
+    def _learn(self, fresh: list[str], plain: int) -> None:
+        """Ids of new parts; the first ``plain`` of them do not hold what stands between."""
+        between = f" {self.BETWEEN} "
+        texts = [between.join(fresh[k : min(k + 1000, plain)]) + between for k in range(0, plain, 1000)]
         made = [np.array(code.ids, dtype=np.uint32) for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         ids = np.concatenate([np.zeros(0, dtype=np.uint32), *made])
         stops = np.flatnonzero(ids == self.between)
         self.pieces.add(np.delete(ids, stops), np.diff(stops, prepend=-1) - 1)
-        for part in odd:
+        for part in fresh[plain:]:
             own = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype=np.uint32)
             self.pieces.add(own, np.array([len(own)]))
-        self.parts.update(zip([*plain, *odd], range(len(self.parts), len(self.parts) + len(fresh)), strict=True))
-        codes = np.array([(self.parts[a], self.parts[b]) for a, b in split], dtype=np.int64)
-        joined, lengths = self.pieces.take(codes.ravel())
-        self.words.add(joined, lengths.reshape(-1, 2).sum(axis=1))
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin and the last end); null counts as empty."""
         words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        coded = pc.list_flatten(words).dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if len(self.known) + len(names) > self.remembered:
+        flat = pc.list_flatten(words)
+        coded = pc.if_else(pc.string_is_ascii(flat), pc.ascii_lower(flat), flat).dictionary_encode()
+        whole = coded.dictionary
+        letters = pc.ascii_rtrim(whole, characters=_MARKS)
+        parted = pc.and_(pc.ascii_is_alpha(letters), pc.string_is_ascii(whole))
+        heads = pc.if_else(parted, letters, whole)
+        tails = pc.if_else(parted, pc.ascii_ltrim(whole, characters=_LETTERS), "").dictionary_encode()
+        if len(self.parts) + len(heads) > self.remembered:
             self._forget()
-        if fresh := [name for name in names if name not in self.known]:
-            self._learn(fresh)
-        at = np.array([self.known[name] for name in names], dtype=np.int64)
-        ids, lengths = self.words.take(at[coded.indices.to_numpy()])
+        numbers = self._numbers(pa.concat_arrays([heads, tails.dictionary]))
+        pairs = np.empty((len(whole), 2), dtype=np.int64)
+        pairs[:, 0] = numbers[: len(heads)]
+        pairs[:, 1] = numbers[len(heads) :][tails.indices.to_numpy()]
+        ids, lengths = self.pieces.take(pairs[coded.indices.to_numpy()].ravel())
         ends = np.concatenate([[0], np.cumsum(lengths)])
         borders = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
-        return ids, ends[borders]
+        return ids, ends[2 * borders]
 
     def __call__(self, text: str) -> bytes:
         return self.batch(pa.array([text]))[0].astype("<u4").tobytes()
