@@ -133,7 +133,7 @@ class WordEncoder:
         return self.batch(pa.array([text]))[0].astype("<u4").tobytes()
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, together: int = 16 << 20) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, together: int = 6 << 20) -> DataFrame:
     """One row per piece of a document: its ids and a closing 0, cut every ``capacity`` ids.
 
     A null or empty text is the closing 0 alone. Repeated rows are repeated documents. Texts are encoded ``together``
@@ -154,6 +154,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, t
                 done = size[first - 1] if first else 0
                 last = max(first + 1, int(np.searchsorted(size, done + together, side="right")))
                 yield made(encoder, batch.slice(first, last - first))
+                pa.default_memory_pool().release_unused()
                 first = last
 
     def made(encoder, some):
