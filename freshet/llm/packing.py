@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 
@@ -68,7 +69,8 @@ class WordEncoder:
     #: Stands between parts that are encoded together, as a pre-token and an id of its own.
     BETWEEN = "|"
 
-    def __init__(self, path: str, remembered: int = 1_500_000):
+    def __init__(self, path: str, remembered: int = 1_000_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core's work, and each thread would keep memory of its own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -133,7 +135,7 @@ class WordEncoder:
         return self.batch(pa.array([text]))[0].astype("<u4").tobytes()
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, together: int = 6 << 20) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, together: int = 4 << 20) -> DataFrame:
     """One row per piece of a document: its ids and a closing 0, cut every ``capacity`` ids.
 
     A null or empty text is the closing 0 alone. Repeated rows are repeated documents. Texts are encoded ``together``
