@@ -89,12 +89,15 @@ def mix(
     Added: ``domain``, ``n_tokens`` and ``epoch`` (0 and up). An epoch orders a leaf by a seeded hash; all epochs but
     its last are whole, the last is the prefix in which each document starts below the budget, so a leaf ends at most one document
     over. Null levels are a branch of their own; empty texts cost nothing and come along with the prefix; repeated rows
-    count as rows; an empty table stays empty. A leaf is summed in chunks of its order, so a large one is many tasks' work.
+    are counted together and come as often as the budget has room for them, rows that share an id or have none by
+    themselves; an empty table stays empty. A leaf is summed in chunks of its order, so a large one is many tasks' work.
     """
-    own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch")]
-    sized = docs.select(*own, source_domain().alias("domain"), token_count().alias("n_tokens"))
-    light = stored(sized.select("doc_id", *LEVELS, "n_tokens"), "sizes")
-    leaves = light.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs"))
+    own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch", "_row")]
+    hashed = [c for c in own if not docs.schema[c].dataType.simpleString().startswith("map")]
+    sized = docs.select(*own, source_domain().alias("domain"), token_count().alias("n_tokens"), F.xxhash64(*hashed).alias("_row"))
+    light = sized.groupBy("_row", *LEVELS, "n_tokens").agg(F.count("*").alias("copies"))
+    light = stored(light, "sizes")
+    leaves = light.groupBy(*LEVELS).agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("n_docs"))
     leaves = stored(leaves, "leaves")
     budgets = leaf_budgets(leaves.select(*LEVELS, "tokens"), fraction, epochs, weights or {})
     budgets = budgets.withColumnsRenamed({c: f"_{c}" for c in LEVELS})
@@ -108,37 +111,42 @@ def mix(
     )
     plan = stored(plan, "plan")
     named = plan.withColumnsRenamed({c: f"_{c}" for c in LEVELS})
-    ranks = light.join(named, same).select("doc_id", "n_tokens", "leaf", "whole", "part", "chunks")
-    # a row's place in the epoch that is cut: 31 bits of a hash, their upper part is the chunk
-    place = F.pmod(F.xxhash64(F.lit(seed), "whole", "doc_id"), F.lit(2**31))
-    ranks = ranks.withColumn("place", place).withColumn("chunk", F.floor(F.col("place") * F.col("chunks") / F.lit(2**31)))
-    steps = ranks.groupBy("leaf", "chunk", "part").agg(F.sum("n_tokens").alias("sum"))
+    ranks = light.join(named, same).select("_row", "n_tokens", "copies", "leaf", "whole", "part", "chunks")
+    # a row's place in the epoch that is cut: 62 bits of a hash, their upper half is the chunk
+    place = F.pmod(F.xxhash64(F.lit(seed), "whole", "_row"), F.lit(2**62))
+    in_chunk = lambda at, chunks: F.floor(F.shiftright(at, 31) * chunks / F.lit(2**31))
+    size = F.col("n_tokens") * F.col("copies")
+    ranks = ranks.withColumn("place", place).withColumn("chunk", in_chunk(F.col("place"), F.col("chunks")))
+    steps = ranks.groupBy("leaf", "chunk", "part").agg(F.sum(size).alias("sum"))
     upto = F.coalesce(F.sum("sum").over(Window.partitionBy("leaf").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cut = stored(steps.withColumn("before", upto), "chunks")
-    within = Window.partitionBy("leaf", "chunk").orderBy("place", F.col("doc_id"), "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("leaf", "chunk").orderBy("place", "_row").rowsBetween(Window.unboundedPreceding, -1)
     # chunks before the one that crosses the budget come whole, later ones not at all: one chunk per leaf is ordered
     crossing = cut.where("before < part and before + sum > part").select("leaf", "chunk", "before")
+    room = F.when(F.col("n_tokens") > 0, F.ceil((F.col("part") - F.col("at")) / F.col("n_tokens"))).otherwise(F.col("copies"))
     border = (
         ranks.join(crossing, ["leaf", "chunk"])
-        .withColumn("at", F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
+        .withColumn("at", F.col("before") + F.coalesce(F.sum(size).over(within), F.lit(0)))
+        .where(F.col("at") < F.col("part"))
         .groupBy("leaf", "chunk")
-        .agg(F.max(F.when(F.col("at") < F.col("part"), F.col("place"))).alias("last"))
+        .agg(F.max(F.struct("place", F.least(F.col("copies"), room).alias("copies"))).alias("last"))
     )
     limits = plan.join(border, "leaf", "left").join(
         cut.where("before + sum <= part and part > 0").groupBy("leaf").agg(F.max("chunk").alias("whole_chunk")), "leaf", "left"
-    ).select(*[plan[c] for c in LEVELS], "whole", "part", "chunks", "chunk", "last", "whole_chunk")
+    ).select(*[plan[c] for c in LEVELS], "whole", "part", "chunks", "chunk", F.col("last.place").alias("last"), F.col("last.copies").alias("copies"), "whole_chunk")
     limits = limits.withColumnsRenamed({c: f"_{c}" for c in limits.columns})
     full = sized.join(limits, same)
-    here = F.pmod(F.xxhash64(F.lit(seed), "_whole", "doc_id"), F.lit(2**31))
-    chunk = F.floor(here * F.col("_chunks") / F.lit(2**31))
-    taken = F.coalesce(chunk <= F.col("_whole_chunk"), F.lit(False)) | F.coalesce((chunk == F.col("_chunk")) & (here <= F.col("_last")), F.lit(False))
-    times = F.col("_whole") + F.when(taken, 1).otherwise(0)
-    return (
-        full.withColumn("_times", times)
-        .where("_times > 0")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
-        .select(*own, "domain", "n_tokens", "epoch")
-    )
+    here = F.pmod(F.xxhash64(F.lit(seed), "_whole", "_row"), F.lit(2**62))
+    chunk = in_chunk(here, F.col("_chunks"))
+    at_border = F.coalesce((chunk == F.col("_chunk")) & (here == F.col("_last")), F.lit(False))
+    taken = F.coalesce(chunk <= F.col("_whole_chunk"), F.lit(False)) | F.coalesce((chunk == F.col("_chunk")) & (here < F.col("_last")), F.lit(False))
+    names = [*own, "domain", "n_tokens", "epoch"]
+    most = full.withColumn("_times", F.col("_whole") + F.when(taken, 1).otherwise(0)).where("_times > 0")
+    most = most.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1))).select(*names)
+    # of the row at the border only some copies have room; equal rows are one and the same
+    last = full.where(at_border).dropDuplicates(["_row"]).withColumn("epoch", F.col("_whole"))
+    last = last.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
+    return most.unionByName(last)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

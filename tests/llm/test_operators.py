@@ -371,3 +371,17 @@ def test_packing_keeps_large_and_null_ids(spark):
     docs = spark.createDataFrame([(2**53 + 1, "a b", 1), (None, "c", 2), (None, "c", 2), (2**53 + 1, None, 3)], "doc_id long, text string, rank int")
     got = packing.pack(docs).collect()
     assert sorted((r.doc_id or 0, r.length) for r in got) == [(0, 2), (0, 2), (2**53 + 1, 1), (2**53 + 1, 3)]
+
+
+@pytest.mark.parametrize("ids", [range(1000), [None] * 1000, [7] * 1000])
+def test_budgets_hold_where_ids_repeat_or_are_missing(spark, ids):
+    text = "one two three four five six seven eight nine ten"
+    same = spark.createDataFrame([(k, text, "en", "s", None) for k in ids], DOC)
+    for per_chunk in (50, 100_000):
+        got = mixing.mix(same, 0.3, 1, per_chunk=per_chunk)
+        assert got.agg(F.sum("n_tokens")).first()[0] == 3000
+    own = spark.createDataFrame([(i, f"{text} {k}", "en", "s", None) for k, i in enumerate(ids)], DOC)
+    got = mixing.mix(own, 0.3, 1)
+    assert 3300 <= got.agg(F.sum("n_tokens")).first()[0] < 3300 + 11
+    twice = mixing.mix(same, 1.5, 2)
+    assert twice.agg(F.sum("n_tokens")).first()[0] == 15000 and set(r.epoch for r in twice.select("epoch").distinct().collect()) == {0, 1}
