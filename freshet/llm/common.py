@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.session import run_dir
+from freshet.streaming.shared_files import SharedFiles
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words as most contracts have them: everything between blanks and \t..\r.
@@ -32,4 +33,12 @@ def stored(df: DataFrame, name: str, row_group_mb: int | None = None) -> DataFra
     if row_group_mb:
         out = out.option("parquet.block.size", row_group_mb << 20)
     out.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def free(*tables: DataFrame) -> None:
+    """Removes tables of ``stored`` that nothing reads any more: what was made from them must be stored itself."""
+    for made in tables:
+        SharedFiles(made.sparkSession).remove(made.stored_at)

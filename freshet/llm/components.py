@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import stored
+from freshet.llm.common import free, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     if not before["n"]:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
     for _ in range(max_rounds):
-        now = stored(_small_star(_large_star(now)).distinct(), "edges")
+        last, now = now, stored(_small_star(_large_star(now)).distinct(), "edges")
+        free(last)
         after = now.agg(*print_of).first()
         if after == before:
             roots = now.select(F.col("v").alias("node")).distinct().withColumn("component_id", F.col("node"))

@@ -7,10 +7,12 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import lower_ascii, stored, table
+from freshet.llm.common import free, lower_ascii, stored, table
 from freshet.llm.components import components
 
 SHINGLE = 5
@@ -20,8 +22,10 @@ CROWD, DENSE = 3, 32
 _SPLIT = re.compile(r"[\x20\x09-\x0D]+")
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)]
-_SEEN = "doc_id long, cls binary, n_shingles long, signature binary, body binary"
-_PASSED = "a long, b long, tree int, key binary, doc_id long, n_shingles long"
+_SEEN = "row long, doc_id long, cls binary, n_shingles long, signature binary, marks binary, body binary"
+_PASSED = "a long, b long, tree int, key binary, c8 long, row long, n_shingles long"
+#: Texts of a task whose copies leave their signature and body out.
+REMEMBERED = 1_000_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -63,25 +67,33 @@ def signature(shingles: np.ndarray, block: int = 2048) -> np.ndarray:
 
 
 def _sketch(batches):
+    """One row per document, numbered; the first of equal texts in a task has the signature, its marks and the body."""
     import zstandard
 
     shingled, squeeze = Shingles(), zstandard.ZstdCompressor(level=1)
+    at, met = TaskContext.get().partitionId() << 33, set()
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             words = words_of(text)
             plain = " ".join(words).encode("utf-8", "surrogatepass")
             found = shingled(words)
-            rows.append(
-                (
-                    None if pd.isna(doc_id) else int(doc_id),
-                    blake2b(plain, digest_size=16).digest(),
-                    len(found),
-                    signature(found).tobytes() if len(found) else None,
-                    squeeze.compress(plain),
-                )
-            )
-        yield pd.DataFrame(rows, columns=["doc_id", "cls", "n_shingles", "signature", "body"]).astype({"doc_id": "Int64"})
+            cls = blake2b(plain, digest_size=16).digest()
+            whole = (None, None, None)
+            if len(found) and cls not in met:
+                if len(met) >= REMEMBERED:
+                    met.clear()
+                met.add(cls)
+                made = signature(found)
+                # the last byte of each place is enough to see whether two signatures agree
+                whole = (made.tobytes(), made.view(np.uint8)[3::4].tobytes(), squeeze.compress(plain))
+            rows.append((at, doc_id, cls, len(found), *whole))
+            at += 1
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SEEN_TYPES, strict=True)] if rows else [pa.array([], t) for t in _SEEN_TYPES], names=_SEEN_NAMES)
+
+
+_SEEN_NAMES = [field.split()[0] for field in _SEEN.split(", ")]
+_SEEN_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.binary()] * 3]
 
 
 def _neighbours(batches):
@@ -89,10 +101,16 @@ def _neighbours(batches):
 
     A row's depth is one more than what it shares with its NEIGHBOURS-th successor, so a crowded region asks for a
     longer prefix. All rows of a window whose ends share CROWD hashes are marked as crowded by a pair of a row with itself.
+    Copies of a text that come from several tasks stand side by side here; the first of them goes on.
     """
-    tail = pd.DataFrame(columns=["tree", "key", "doc_id", "n_shingles"])
-    first = True
+    tail = pd.DataFrame(columns=["tree", "key", "c8", "row", "n_shingles"])
+    first, last = True, None
     for batch in batches:
+        again = (batch["tree"].eq(batch["tree"].shift()) & batch["key"].eq(batch["key"].shift()) & batch["c8"].eq(batch["c8"].shift())).to_numpy()
+        if len(batch):
+            again[0] = last == tuple(batch.iloc[0][["tree", "key", "c8"]])
+            last = tuple(batch.iloc[-1][["tree", "key", "c8"]])
+        batch = batch[~again]
         if not len(batch):
             continue
         if first:
@@ -101,7 +119,7 @@ def _neighbours(batches):
         rows = pd.concat([tail, batch], ignore_index=True) if len(tail) else batch.reset_index(drop=True)
         done = len(tail)
         keys = np.frombuffer(b"".join(rows["key"]), dtype=">u4").reshape(len(rows), DEPTH)
-        tree, ids = rows["tree"].to_numpy(np.int64), rows["doc_id"].to_numpy(np.int64)
+        tree, ids = rows["tree"].to_numpy(np.int64), rows["row"].to_numpy(np.int64)
         n = rows["n_shingles"].to_numpy(np.int64)
 
         def shared(lag, keys=keys, tree=tree):
@@ -126,60 +144,64 @@ def _neighbours(batches):
                 starts = np.flatnonzero(shared(NEIGHBOURS) >= CROWD)
                 marked = np.unique(ids[np.unique(starts[:, None] + np.arange(NEIGHBOURS + 1))])
                 both = np.concatenate([both, np.stack([marked, marked])], axis=1)
-            yield pd.DataFrame({"a": both[0], "b": both[1], "tree": None, "key": None, "doc_id": None, "n_shingles": None}).astype(
-                {"a": "Int64", "b": "Int64", "tree": "Int32", "doc_id": "Int64", "n_shingles": "Int64"}
+            yield pd.DataFrame({"a": both[0], "b": both[1], "tree": None, "key": None, "c8": None, "row": None, "n_shingles": None}).astype(
+                {"a": "Int64", "b": "Int64", "tree": "Int32", "c8": "Int64", "row": "Int64", "n_shingles": "Int64"}
             )
         tail = rows.tail(NEIGHBOURS)
     if len(tail):
         yield tail.assign(a=None, b=None).astype({"a": "Int64", "b": "Int64"})
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b, votes) of neighbours in any tree; ``reps`` has doc_id, n_shingles, signature.
+def candidates(seen: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b, votes) of neighbours in any tree; ``seen`` has row, cls, n_shingles, signature.
 
     A crowded row, whose partners may be further away than its neighbours, is paired with itself.
     """
     width = 4 * DEPTH
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    rows = reps.select("doc_id", "n_shingles", "signature", tree).selectExpr(
-        "tree", f"substring(signature, tree * {width} + 1, {width}) AS key", "doc_id", "n_shingles"
+    heads = seen.where("signature is not null")
+    rows = heads.select("row", "n_shingles", "signature", F.xxhash64("cls").alias("c8"), tree).selectExpr(
+        "tree", f"substring(signature, tree * {width} + 1, {width}) AS key", "c8", "row", "n_shingles"
     )
-    order = ["tree", "key", "doc_id"]
+    order = ["tree", "key", "c8"]
+    # equal keys stay together, so copies of a text do too; there is one from each task at most
     passed = stored(
-        rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(_in_order, _PASSED), "neighbours"
+        rows.repartitionByRange(*order).sortWithinPartitions(*order, "row").mapInPandas(_in_order, _PASSED), "neighbours"
     )
-    ends = passed.where("a is null").select("tree", "key", "doc_id", "n_shingles").distinct()
-    again = ends.repartition("tree").sortWithinPartitions(*order).mapInPandas(_in_order, _PASSED)
+    ends = passed.where("a is null").select("tree", "key", "c8", "row", "n_shingles").distinct()
+    again = ends.repartition("tree").sortWithinPartitions(*order, "row").mapInPandas(_in_order, _PASSED)
     pairs = passed.union(again).where("a is not null")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("votes"))
+    found = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("votes")), "candidates")
+    free(passed)
+    return found
 
 
 def _in_order(batches):
     for made in _neighbours(batches):
-        yield made[["a", "b", "tree", "key", "doc_id", "n_shingles"]]
+        yield made[["a", "b", "tree", "key", "c8", "row", "n_shingles"]]
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, least_agreement: float = 0.5) -> DataFrame:
-    """The (a, b) whose full shingle sets have 100 * intersection >= 75 * union.
+def confirmed(pairs: DataFrame, seen: DataFrame, least_agreement: float = 0.5) -> DataFrame:
+    """The (a, b) whose full shingle sets have 100 * intersection >= 75 * union, stored.
 
     Signatures that agree in fewer than half of their 144 places are passed over first: at a similarity of 0.75 that
-    has a chance below one in 10^9.
+    has a chance below one in 10^9. Of each place one byte is compared, so a few more pairs go on than need to.
     """
-    marks = reps.select("doc_id", "signature")
+    marks = seen.where("marks is not null").select("row", "marks")
 
     def agrees(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([np.mean(np.frombuffer(x, ">u4") == np.frombuffer(y, ">u4")) >= least_agreement for x, y in zip(left, right, strict=True)], dtype=bool)
+        return pd.Series([np.mean(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) >= least_agreement for x, y in zip(left, right, strict=True)], dtype=bool)
 
     likely = stored(
         pairs.select("a", "b")
-        .join(marks.select(F.col("doc_id").alias("a"), F.col("signature").alias("left")), "a")
-        .join(marks.select(F.col("doc_id").alias("b"), F.col("signature").alias("right")), "b")
+        .join(marks.select(F.col("row").alias("a"), F.col("marks").alias("left")), "a")
+        .join(marks.select(F.col("row").alias("b"), F.col("marks").alias("right")), "b")
         .where(F.pandas_udf(agrees, "boolean")("left", "right"))
         .select("a", "b"),
         "likely",
     )
-    needed = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    bodies = stored(reps.select("doc_id", "body").join(needed, "doc_id"), "bodies")
+    needed = likely.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    bodies = stored(seen.where("body is not null").select("row", "body").join(needed, "row"), "bodies")
 
     def check(batches):
         import zstandard
@@ -197,31 +219,34 @@ def confirmed(pairs: DataFrame, reps: DataFrame, least_agreement: float = 0.5) -
                 hits.append(100 * common >= 75 * (len(x) + len(y) - common))
             yield batch.loc[np.array(hits, dtype=bool), ["a", "b"]]
 
-    return (
-        likely.join(bodies.select(F.col("doc_id").alias("a"), F.col("body").alias("left")), "a")
-        .join(bodies.select(F.col("doc_id").alias("b"), F.col("body").alias("right")), "b")
-        .mapInPandas(check, "a long, b long")
+    found = stored(
+        likely.join(bodies.select(F.col("row").alias("a"), F.col("body").alias("left")), "a")
+        .join(bodies.select(F.col("row").alias("b"), F.col("body").alias("right")), "b")
+        .mapInPandas(check, "a long, b long"),
+        "confirmed",
     )
+    free(likely, bodies)
+    return found
 
 
 def _sharing(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components and fitting lengths that share a shingle; columns h, part, doc_id, n.
+    """Pairs (a, b) of different components and fitting lengths that share a shingle; columns h, part, row, n.
 
     A component's rows of one shingle are one list in at most 64 pieces, so its rows never meet each other.
     """
 
     def lists(postings: DataFrame, side: str) -> DataFrame:
-        piece = F.pmod(F.xxhash64("doc_id"), F.lit(64))
+        piece = F.pmod(F.xxhash64("row"), F.lit(64))
         listed = postings.groupBy("h", F.col("part").alias(f"{side}_part"), piece.alias("piece"))
-        return listed.agg(F.collect_list(F.struct("doc_id", "n")).alias(f"{side}_rows")).drop("piece")
+        return listed.agg(F.collect_list(F.struct("row", "n")).alias(f"{side}_rows")).drop("piece")
 
     met = lists(left, "x").join(lists(right, "y"), "h").where("x_part <> y_part")
     met = met.select(F.explode("x_rows").alias("x"), "y_rows").select("x", F.explode("y_rows").alias("y"))
     met = met.where("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)")
-    return met.selectExpr("least(x.doc_id, y.doc_id) AS a", "greatest(x.doc_id, y.doc_id) AS b").distinct()
+    return met.selectExpr("least(x.row, y.row) AS a", "greatest(x.row, y.row) AS b").distinct()
 
 
-def crowd_pairs(reps: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFrame:
+def crowd_pairs(seen: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs (a, b) that, once confirmed, join all components that a link between two rows of ``crowd`` would join.
 
     A link needs three quarters of each set in common, all of it in shingles that occur in more than one component.
@@ -230,9 +255,9 @@ def crowd_pairs(reps: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFram
     one of the two sets has 6/7 of its own among such: of those, rows with the same dense shingles link to the
     smallest set of them, and that one stands for them against all others by the same order.
     """
-    own = parts.select(F.col("node").alias("doc_id"), "component_id")
-    rows = reps.join(crowd, "doc_id", "left_semi").join(own, "doc_id", "left")
-    rows = rows.selectExpr("doc_id", "n_shingles AS n", "coalesce(component_id, doc_id) AS part", "body")
+    own = parts.select(F.col("node").alias("row"), "component_id")
+    rows = seen.where("body is not null").select("row", "n_shingles", "body").join(crowd, "row", "left_semi").join(own, "row", "left")
+    rows = rows.selectExpr("row", "n_shingles AS n", "coalesce(component_id, row) AS part", "body")
 
     def opened(batches):
         import zstandard
@@ -240,15 +265,15 @@ def crowd_pairs(reps: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFram
         shingled, open_ = Shingles(), zstandard.ZstdDecompressor()
         for batch in batches:
             found = [shingled(open_.decompress(body).decode("utf-8", "surrogatepass").split(" ")).view(np.int64) for body in batch["body"]]
-            yield batch[["doc_id", "n", "part"]].assign(found=found)
+            yield batch[["row", "n", "part"]].assign(found=found)
 
-    sets = stored(rows.mapInPandas(opened, "doc_id long, n long, part long, found array<long>"), "crowd")
-    postings = sets.select("doc_id", "n", "part", F.explode("found").alias("h"))
+    sets = stored(rows.mapInPandas(opened, "row long, n long, part long, found array<long>"), "crowd")
+    postings = sets.select("row", "n", "part", F.explode("found").alias("h"))
     spread = postings.select("h", "part").distinct().groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = postings.join(spread, "h").groupBy("doc_id", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("found"))
+    ordered = postings.join(spread, "h").groupBy("row", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("found"))
     ordered = stored(
         ordered.where("4 * size(found) >= 3 * n").selectExpr(
-            "doc_id",
+            "row",
             "n",
             "part",
             f"transform(filter(slice(found, 1, int(size(found) - ceil(3 * n / 4) + 1)), x -> x.df <= {DENSE}), x -> x.h) AS rare",
@@ -256,18 +281,18 @@ def crowd_pairs(reps: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFram
         ),
         "ordered",
     )
-    rare = ordered.select("doc_id", "n", "part", F.explode("rare").alias("h"))
+    rare = ordered.select("row", "n", "part", F.explode("rare").alias("h"))
     units = ordered.where("size(dense) > 0 and 4 * size(dense) >= 3 * n").withColumn("cls", F.md5(F.concat_ws(",", F.col("dense").cast("array<string>"))))
-    units = stored(units.groupBy("cls", "part").agg(F.min(F.struct("n", "doc_id", "dense")).alias("u")).select("cls", "part", "u.*"), "units")
+    units = stored(units.groupBy("cls", "part").agg(F.min(F.struct("n", "row", "dense")).alias("u")).select("cls", "part", "u.*"), "units")
     full = units.where("7 * size(dense) >= 6 * n")
-    heads = full.groupBy("cls").agg(F.min(F.struct("n", "doc_id", "part", "dense")).alias("u")).select("cls", "u.*")
-    salted = heads.select("cls", F.col("doc_id").alias("head"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
-    chained = full.withColumn("salt", F.pmod("doc_id", F.lit(16)).cast("int")).join(salted, ["cls", "salt"]).where("doc_id <> head")
+    heads = full.groupBy("cls").agg(F.min(F.struct("n", "row", "part", "dense")).alias("u")).select("cls", "u.*")
+    salted = heads.select("cls", F.col("row").alias("head"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    chained = full.withColumn("salt", F.pmod("row", F.lit(16)).cast("int")).join(salted, ["cls", "salt"]).where("row <> head")
     first = F.expr("explode(slice(dense, 1, int(size(dense) - ceil(3 * n / 4) + 1)))").alias("h")
     return (
         _sharing(rare, rare)
-        .union(_sharing(units.select("doc_id", "n", "part", first), heads.select("doc_id", "n", "part", first)))
-        .union(chained.selectExpr("least(doc_id, head)", "greatest(doc_id, head)"))
+        .union(_sharing(units.select("row", "n", "part", first), heads.select("row", "n", "part", first)))
+        .union(chained.selectExpr("least(row, head)", "greatest(row, head)"))
         .distinct()
     )
 
@@ -275,37 +300,36 @@ def crowd_pairs(reps: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFram
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
 
-    Texts with the same words are one class with the least doc_id as its node, so copies are never paired. Every row
-    first proposes its best neighbour; other candidates are checked if their ends are still in different components, for only
-    they can change one. Crowded rows, whose partners may be beyond their neighbours, are then joined exactly. Null and empty texts have no shingles and link with nothing; a row without an id is kept and
-    in no component; rows that share an id are one node; an empty table gives no rows.
+    Texts with the same words are one class, whatever their ids; its first row is its node, so copies are never paired and
+    texts that share an id are compared each by itself. Every node first proposes its best neighbour; other candidates are
+    checked if their ends are still in different components, for only they can change one. Crowded rows, whose partners
+    may be beyond their neighbours, are then joined exactly. Null and empty texts have no shingles and link with nothing; a
+    row without an id is kept and has no component, though its text may link others; an empty table gives no rows.
     """
-    seen = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(_sketch, _SEEN), "sketches")
-    classes = seen.where("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")).where("rep is not null")
-    nodes = classes.groupBy("rep").agg(F.min("cls").alias("cls")).withColumnRenamed("rep", "doc_id")
-    reps = stored(seen.join(nodes, ["doc_id", "cls"]).dropDuplicates(["doc_id"]), "reps")
-    found = stored(candidates(reps), "candidates")
-    pairs, crowd = found.where("a < b"), found.where("a = b").select(F.col("a").alias("doc_id"))
+    seen = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sketch, _SEEN), "sketches")
+    found = candidates(seen)
+    pairs, crowd = found.where("a < b"), found.where("a = b").select(F.col("a").alias("row"))
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a")).select("a", "b")
-    links = stored(confirmed(best, reps), "links")
+    links = confirmed(best, seen)
     parts = stored(components(links.toDF("u", "v")), "components")
     ends = pairs.select("a", "b")
     for end in ("a", "b"):
         part = parts.select(F.col("node").alias(end), F.col("component_id").alias(f"{end}_part"))
         ends = ends.join(part, end, "left")
     crossing = ends.where("coalesce(a_part, a) <> coalesce(b_part, b)").select("a", "b").join(best, ["a", "b"], "left_anti")
-    more = confirmed(stored(crossing, "crossing"), reps)
-    links = stored(links.union(more), "links")
+    links = stored(links.union(confirmed(crossing, seen)), "links")
     parts = stored(components(links.toDF("u", "v")), "components")
-    beyond = stored(confirmed(stored(crowd_pairs(reps, crowd, parts), "crowd-pairs"), reps), "beyond")
+    beyond = confirmed(crowd_pairs(seen, crowd, parts), seen)
     if not beyond.isEmpty():
         parts = stored(components(links.union(beyond).toDF("u", "v")), "components")
-    placed = classes.join(parts, classes["rep"] == parts["node"], "left").select(
-        "cls", F.coalesce("component_id", "rep").alias("component_id")
-    )
+    # classes and their nodes, then the least id of each component
+    light = seen.where("n_shingles > 0").select("cls", "doc_id", F.when(F.col("body").isNotNull(), F.col("row")).alias("row"))
+    classes = light.groupBy("cls").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
+    placed = classes.join(parts, "node", "left").select("cls", "least", F.coalesce("component_id", "node").alias("part"))
+    least = placed.groupBy("part").agg(F.min("least").alias("component_id"))
     return (
         seen.select("doc_id", "cls", "n_shingles")
-        .join(placed, "cls", "left")
+        .join(placed.join(least, "part").select("cls", "component_id"), "cls", "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

@@ -241,6 +241,14 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash_forest.near_duplicates(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_compared_each(spark):
+    part = " ".join("qrstuvwx")
+    rows = [(1, " ".join("abcdefgh")), (1, part), (3, part), (4, part + " y"), (2**53 + 1, part + " y"), (None, part), (9, None)]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, row string")
+    got = sorted(map(tuple, minhash_forest.near_duplicates(docs).collect()), key=repr)
+    assert got == sorted([(1, 4, 1, True), (1, 4, 1, True), (3, 4, 1, False), (4, 5, 1, False), (2**53 + 1, 5, 1, False), (None, 4, None, True), (9, 0, 9, True)], key=repr)
+
+
 def brute_components(texts):
     sets = [set(zip(*(minhash_forest.words_of(text)[k:] for k in range(5)), strict=False)) for text in texts]
     least = list(range(len(texts)))
@@ -275,11 +283,12 @@ def test_crowd_pairs_of_texts_that_are_dense_passages(spark):
     texts = [" ".join(pool[p] for p in pick) + " " + prose(k % 20, 500 + k) for k, pick in enumerate(picks)]
     pairs, least = brute_components(texts)
     assert len(pairs) >= 20
-    seen = docs_of(spark, texts).select("doc_id", "text").mapInPandas(minhash_forest._sketch, minhash_forest._SEEN)
+    seen = minhash_forest.stored(docs_of(spark, texts).select("doc_id", "text").mapInArrow(minhash_forest._sketch, minhash_forest._SEEN), "seen")
     alone = spark.createDataFrame([], "node long, component_id long")
-    proposed = minhash_forest.crowd_pairs(seen, seen.select("doc_id"), alone)
+    proposed = minhash_forest.crowd_pairs(seen, seen.select("row"), alone)
     links = minhash_forest.confirmed(proposed, seen).toDF("u", "v")
-    got = {r.node: r.component_id for r in components.components(links).collect()}
+    own = {r.row: r.doc_id for r in seen.select("row", "doc_id").collect()}
+    got = {own[r.node]: own[r.component_id] for r in components.components(links).collect()}
     assert [got.get(k, k) for k in range(len(texts))] == least
 
 
