@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import decision_lists, minhash_forest, mixing, packing, toxicity
-from freshet.llm.common import stored, table
+from freshet.llm.common import free_all, table
+from freshet.session import run_dir
+from freshet.streaming.shared_files import SharedFiles
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Share of the kept tokens that the mixture may use, at most one epoch of each source.
@@ -48,14 +52,35 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", quality), ("toxicity", toxic), ("near copies", near_copies), ("mixing", mixed), ("packing", packed)]
+def _after_the_last(stage):
+    """``stage`` on documents that stand as a table: what the stages before it have stored can go."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        free_all(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [
+    (name, _after_the_last(stage))
+    for name, stage in (
+        ("quality rules", quality), ("toxicity", toxic), ("near copies", near_copies), ("mixing", mixed), ("packing", packed)
+    )
+]
 
 #: Learned rules, a classifier and a tokenizer are beyond SQL; tests/llm tests the operators, the chain has no test of its own yet.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        out = run_dir(spark, name.replace(" ", "-"))
+        made = stage(spark, docs, sf_dir)
+        made.write.parquet(out)
+        docs, before, path = spark.read.schema(made.schema).parquet(out), path, out
+        if before:
+            SharedFiles(spark).remove(before)
     return docs

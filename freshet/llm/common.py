@@ -22,6 +22,10 @@ def lower_ascii(text: str) -> str:
     return text.translate(_LOWER)
 
 
+#: Tables of ``stored`` that are still there, for ``free_all``.
+_OPEN: list[DataFrame] = []
+
+
 def stored(df: DataFrame, name: str, row_group_mb: int | None = None) -> DataFrame:
     """Writes ``df`` into the shared folder and reads it back: lineage ends here.
 
@@ -35,6 +39,7 @@ def stored(df: DataFrame, name: str, row_group_mb: int | None = None) -> DataFra
     out.parquet(path)
     made = df.sparkSession.read.schema(df.schema).parquet(path)
     made.stored_at = path
+    _OPEN.append(made)
     return made
 
 
@@ -42,3 +47,10 @@ def free(*tables: DataFrame) -> None:
     """Removes tables of ``stored`` that nothing reads any more: what was made from them must be stored itself."""
     for made in tables:
         SharedFiles(made.sparkSession).remove(made.stored_at)
+        _OPEN[:] = [other for other in _OPEN if other is not made]
+
+
+def free_all(spark: SparkSession) -> None:
+    """Removes what earlier steps of this session have stored; only for a caller whose input stands by itself."""
+    own = [made for made in _OPEN if made.sparkSession is spark or made.sparkSession.sparkContext is spark.sparkContext]
+    free(*own)
