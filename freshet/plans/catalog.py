@@ -330,49 +330,48 @@ def _checked(spark, sf_dir, lines, schema, required):
 def change_log_json(spark, sf_dir):
     """Every line of the change log, as a row or with what is wrong with it."""
     lines = _checked(spark, sf_dir, tables.change_lines, CHANGE, logs.CHANGE_NEEDS)
-    good = logs.with_times(jsonlines.good_rows(lines))
     data = F.col("data")
-    rows = good.select(
-        "seq", F.lit(None).cast("string").alias("error"), "table", "type",
+    return logs.with_times(jsonlines.every_line(lines)).select(
+        "seq", "error", "table", "type",
         *[data[name].alias(name) for name in ("id", "user_id", "k")], "ts", F.unix_seconds("et").alias("et_s"),
     )
-    return rows.unionByName(jsonlines.bad_lines(lines).drop("value"), allowMissingColumns=True)
 
 
 def behavior_log_json(spark, sf_dir):
     """Every line of the behaviour log, as a row or with what is wrong with it."""
     lines = _checked(spark, sf_dir, tables.behavior_lines, BEHAVIOR, logs.BEHAVIOR_NEEDS)
     common = F.col("common")
-    rows = jsonlines.good_rows(lines).select(
-        "seq", F.lit(None).cast("string").alias("error"),
+
+    def many(name):
+        return F.when(F.col("error").isNull(), F.size(F.coalesce(name, F.array()))).alias(name)
+
+    return jsonlines.every_line(lines).select(
+        "seq", "error",
         *[common[name].alias(name) for name in ("mid", "uid", "is_new")],
         F.col("start")["loading_time"].alias("loading_time"), F.col("page")["page_id"].alias("page_id"),
-        F.col("page")["during_time"].alias("during_time"), F.size(F.coalesce("displays", F.array())).alias("displays"),
-        F.size(F.coalesce("actions", F.array())).alias("actions"), F.col("err")["error_code"].alias("error_code"), "sid", "ts",
+        F.col("page")["during_time"].alias("during_time"), many("displays"),
+        many("actions"), F.col("err")["error_code"].alias("error_code"), "sid", "ts",
     )
-    return rows.unionByName(jsonlines.bad_lines(lines).drop("value"), allowMissingColumns=True)
 
 
 def shop_events_json(spark, sf_dir):
     """Every line of the shop's events, with the time its type names."""
     lines = _checked(spark, sf_dir, tables.shop_lines, SHOP_EVENT, logs.SHOP_NEEDS)
-    rows = logs.shop_rows(jsonlines.good_rows(lines), ["seq"]).select(
-        "seq", F.lit(None).cast("string").alias("error"), "user_id", "event_type", F.unix_seconds("et").alias("et_s")
+    return logs.shop_rows(jsonlines.every_line(lines), ["seq", "error"]).select(
+        "seq", "error", "user_id", "event_type", F.unix_seconds("et").alias("et_s")
     )
-    return rows.unionByName(jsonlines.bad_lines(lines).drop("value"), allowMissingColumns=True)
 
 
 def metric_events_json(spark, sf_dir):
     """Every line of the metric events, cut to the used columns early."""
     lines = _checked(spark, sf_dir, tables.metric_lines, METRIC_EVENT, logs.METRIC_NEEDS)
-    rows = logs.metric_rows(jsonlines.good_rows(lines), ["seq"])
+    rows = logs.metric_rows(jsonlines.every_line(lines), ["seq", "error"])
     context = F.col("event_context")
-    rows = rows.select(
-        "seq", F.lit(None).cast("string").alias("error"), "user_id_int", "event_name", "event_type",
+    return rows.select(
+        "seq", "error", "user_id_int", "event_name", "event_type",
         context["device"]["province"].alias("province"), context["profile"]["grade"].alias("grade"),
         context["product"]["price"].cast("double").alias("price"), F.unix_seconds("et").alias("et_s"),
     )
-    return rows.unionByName(jsonlines.bad_lines(lines).drop("value"), allowMissingColumns=True)
 
 
 def upsert_log_table(spark, sf_dir):

@@ -12,16 +12,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _only_element(text: Column, kind: T.DataType) -> Column:
+def _elements(text: Column, kind: T.DataType) -> Column:
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(kind))
+
+
+def _only(elements: Column) -> Column:
     """The line's object, or null if the line is not exactly one object."""
-    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(kind))
     return F.when(F.size(elements) == 1, elements[0])
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df.withColumn(name, value)`` with ``value`` worked out once a row.
+
+    The optimizer copies a column's expression into each filter and field that reads it, and the line would be parsed
+    anew for each; it does not look through ``explode``.
+    """
+    others = [F.col(column) for column in df.columns if column != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
 def is_json_object(text: Column | str) -> Column:
     """Whether the text is one well-formed JSON object."""
     text = F.col(text) if isinstance(text, str) else text
-    return _only_element(text, T.MapType(T.StringType(), T.StringType())).isNotNull()
+    return _only(_elements(text, T.MapType(T.StringType(), T.StringType()))).isNotNull()
 
 
 def well_formed(lines: DataFrame) -> DataFrame:
@@ -47,7 +60,8 @@ def checked(lines: DataFrame, schema: T.StructType, required: tuple[str, ...] =
     relaxed = T.StructType(
         [T.StructField(f.name, T.StringType() if is_number(f) else f.dataType) for f in schema]
     )
-    read = lines.withColumn("_raw", _only_element(F.col("value"), relaxed))
+    text = once(lines, "value", F.col("value")).select(*lines.columns)
+    read = once(text, "_all", _elements(F.col("value"), relaxed)).withColumn("_raw", _only(F.col("_all"))).drop("_all")
     fields = [
         (F.col("_raw")[f.name].try_cast(f.dataType) if is_number(f) else F.col("_raw")[f.name])
         .alias(f.name)
@@ -73,6 +87,13 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("error").isNotNull()).drop("row")
 
 
+def every_line(lines: DataFrame) -> DataFrame:
+    """All ``checked`` lines in one pass: carried columns, ``error``, and the row's fields, null where there is an error."""
+    carried = [name for name in lines.columns if name not in ("value", "row", "error")]
+    row = F.when(F.col("error").isNull(), F.col("row")).alias("row")
+    return lines.select(*carried, "error", row).select(*carried, "error", "row.*")
+
+
 def line_counts(lines: DataFrame) -> DataFrame:
     """How many ``checked`` lines are good (``error`` null) and how many have which error."""
     return lines.groupBy("error").agg(F.count(F.lit(1)).alias("lines"))

@@ -115,6 +115,18 @@ def test_checked_lines_say_what_is_wrong(lines):
     assert jsonlines.line_counts(jsonlines.checked(df.limit(0), schema)).count() == 0
 
 
+def test_a_line_is_parsed_once_whatever_reads_it(lines):
+    schema = T.StructType.fromDDL("a string, n bigint, m map<string,string>")
+    df = lines('{"a":"x","n":"7","m":{"k":1}}', "bad {", None, '{"n":1}')
+    got = jsonlines.checked(df, schema, ("a", "n"))
+    every = jsonlines.every_line(got)
+    for read in (every, jsonlines.good_rows(got).where((F.col("a") == "x") & (F.col("n") > 1))):
+        assert read._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert rows(every) == sorted(
+        [(None, "x", 7, {"k": "1"}), ("malformed", None, None, None), ("empty", None, None, None), ("missing a", None, None, None)],
+        key=repr)
+
+
 def test_a_stream_writes_rows_bad_lines_and_counts(spark, tmp_path):
     place = tmp_path / "in"
     place.mkdir()
