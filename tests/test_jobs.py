@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from freshet.operators import dimension, routing, rule_log
 from freshet.schemas import DIM_RULE, FACT_RULE
-from freshet.streaming import jobs, ruled, sinks
+from freshet.streaming import jobs, processors, ruled, sinks
 from test_facts import CHANGES, NAMES
 from test_log_split import D1, DAY
 
@@ -198,3 +198,69 @@ def test_every_job_builds_a_stream(spark, tmp_path, name):
     built = jobs.JOBS[name].build(home.lines, context)
     assert built.isStreaming and built.columns
     assert not built.select(F.lit(1)).isLocal()
+
+
+def test_the_event_pattern_costs_few_state_calls_however_many_rows():
+    """Thirty days of a key's rows in one batch, some to come after the watermark; each call to state counts."""
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.held = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def appendList(self, rows):
+            calls.append("append")
+            self.held = [*(self.held or []), *rows]
+
+        def put(self, rows):
+            calls.append("put")
+            self.held = list(rows)
+
+        update = put
+
+        def clear(self):
+            calls.append("clear")
+            self.held = None
+
+    class Handle:
+        timers: list[int] = []
+
+        def getListState(self, name, schema):
+            return State()
+
+        def getValueState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+            self.timers.append(at)
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getExpiryTimeInMs(self):
+            return self.at
+
+        getCurrentWatermarkInMs = getExpiryTimeInMs
+
+    machine = processors.FollowedBy("click", "purchase", 3600, "m")
+    machine.init(Handle())
+    minute = 60_000_000
+    given = [{"micros": 61 * minute * k, "tie": k, "kind": "click"} for k in range(700)]
+    given += [{"micros": 61 * minute * k + minute, "tie": k, "kind": "purchase"} for k in range(700)]
+    list(machine.handleInputRows((1,), iter(given), None))
+    middle, end = 61 * 350 * 60_000, 10**10
+    got = list(machine.handleExpiredTimer((1,), Now(middle), Now(min(Handle.timers))))
+    assert len(got) == 350
+    got += list(machine.handleExpiredTimer((1,), Now(end), Now(max(Handle.timers))))
+    assert [(r.first_micros, r.second_micros) for r in got] == [(61 * minute * k, 61 * minute * k + minute) for k in range(700)]
+    assert len(calls) < 30
