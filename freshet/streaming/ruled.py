@@ -71,7 +71,7 @@ def by_rules_in_force(
             if snapshot is not None and not store.manifest()["runs"]:
                 store.append(rule_log.as_changes(snapshot()).select(*changes.columns).coalesce(1), -1)
             if not changes.isEmpty():
-                store.append(changes.coalesce(1), batch_id)
+                store.append(changes.repartition(1), batch_id)  # coalesced, one task would read the whole batch
             known = store.read()
             if known is None:
                 return
@@ -109,7 +109,7 @@ def by_dictionary_of_the_time(
                 first = entries().select("dic_code", F.col("info.dic_name").alias("dic_name"))
                 store.append(rule_log.as_changes(first).select(*changes.columns).coalesce(1), -1)
             if not changes.isEmpty():
-                store.append(changes.coalesce(1), batch_id)
+                store.append(changes.repartition(1), batch_id)  # coalesced, one task would read the whole batch
             known = store.read()
             if known is None:
                 return
