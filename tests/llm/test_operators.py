@@ -324,6 +324,24 @@ def test_scores_equal_brute_force_and_states_sum_to_one(spark):
     assert backoff_model.scored(docs_of(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_no_gram_of_the_language_model_is_stored_as_a_row(spark, monkeypatch):
+    tables = []
+
+    def noted(df, name):
+        tables.append(minhash_forest.stored(df, name))
+        return tables[-1]
+
+    monkeypatch.setattr(backoff_model, "stored", noted)
+    docs = docs_of(spark, [prose(400, k) for k in range(100)]).repartition(3, "doc_id")
+    assert backoff_model.scored(docs).count() == 100
+    assert sum(made.count() for made in tables) < 500  # there are 40,000 different pairs
+
+
+def test_packed_numbers_come_back():
+    for values in ([], [0], [1, 2**64 - 1, 300, 0]):
+        assert backoff_model._unpacked(backoff_model._packed(np.array(values, dtype=np.uint64))).tolist() == values
+
+
 # ---- mixing
 
 
