@@ -36,7 +36,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFram
     """Hot keys and over how many sub-keys to spread each (``_parts``).
 
     Each stands for more than ``rows_per_task`` rows, so there are fewer of them
-    than rows / ``rows_per_task``; how they are joined is left to their measured bytes.
+    than rows / ``rows_per_task``.
     """
     return _hot(_counted(df, keys), keys, rows_per_task)
 
@@ -77,7 +77,8 @@ def skew_join(
     keys = list(keys)
     if counts is None:
         counts = _counted(heavy if sample_of is None else sample_of, keys)
-    hot = _hot(counts, keys, rows_per_task)
+    # fewer than one row for ``rows_per_task`` of the heavy side; without the hint that side is shuffled once more to look them up
+    hot = F.broadcast(_hot(counts, keys, rows_per_task))
     no_key = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
     part = F.when(F.col("_parts").isNotNull(), _spread(heavy, F.col("_parts")))
     if how == "left":

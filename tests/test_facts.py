@@ -253,3 +253,17 @@ def test_stream_join_spreads_hot_and_null_keys(spark, tmp_path):
         out = str(tmp_path / how)
         sinks.start(joined.select("id", "v"), f"{out}-state", sinks.to_parquet(out)).awaitTermination()
         assert rows(spark.read.parquet(out), "id", "v") == sorted(want, key=repr)
+
+
+def test_stored_lines_go_through_shuffles_with_their_texts_as_one(spark, lines):
+    """Odd texts come back as they were, and only ids and one text are carried."""
+    odd = ["", None, 'say "x"', "a\\b\n\tc", " \u00e9\u624b\u673a\U0001f600 ", "null", "[1,2]", "\u0001,"]
+    made = [detail(f"d{k}", "1", T0, sku_name=text, split_activity_amount=text) for k, text in enumerate(odd)]
+    made += [detail("d0", "1", T0, sku_num=None), detail(None, "1", T0, order_price="x")]
+    order = change("order_info", "insert", {"id": "1", "user_id": "u1", "province_id": None}, T0)
+    wide = facts.order_detail(logs.change_log(lines(order, *made)))
+    got = rows(wide, "id", "sku_name", "split_activity_amount", "split_original_amount", "split_coupon_amount")
+    want = [(f"d{k}", text, text, "21.0000", None) for k, text in enumerate(odd)]
+    want += [("d0", "phone", "0.50", None, None), (None, "phone", "0.50", None, None)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert "_line" in wide._jdf.queryExecution().optimizedPlan().toString()

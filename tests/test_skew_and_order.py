@@ -43,6 +43,20 @@ def test_skew_join_splits_the_hot_key(spark):
     assert all(key in (None, "hot") for key in parts)
 
 
+def test_skew_join_shuffles_each_side_once(spark, tmp_path):
+    for name in ("heavy", "light"):
+        spark.range(1000).selectExpr("cast(id AS string) AS k", f"id AS {name}").write.parquet(f"{tmp_path}/{name}")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = skew.skew_join(*(spark.read.parquet(f"{tmp_path}/{name}") for name in ("heavy", "light")), ["k"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert plan.count("SortMergeJoin") == 1
+    assert plan.count("Exchange hashpartitioning") <= 4  # either side, and the counts that each of them meets
+
+
 def test_skew_join_refuses_other_kinds(spark):
     heavy = _heavy(spark, 5)
     with pytest.raises(ValueError):
