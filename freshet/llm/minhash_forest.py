@@ -24,6 +24,12 @@ _FACTORS = np.random.default_rng(7).integers(1, 2**63, TREES * DEPTH, dtype=np.u
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)]
 _SEEN = "row long, doc_id long, cls binary, n_shingles long, signature binary, marks binary, body binary"
 _PASSED = "a long, b long, tree int, key binary, c8 long, row long, n_shingles long"
+#: Words of 64 bits that say how far two sets are apart at least.
+PARITY = 8
+_BITS = [f"b{k}" for k in range(PARITY)]
+_APART = "(" + " + ".join(f"bit_count(x.{b} ^ y.{b})" for b in _BITS) + ")"
+#: A link has 3/7 of both sets' sizes in common and no more than 1/7 of them apart. ``left`` counts the shingles from the shared one on.
+_MAY_LINK = f"7 * least(x.left, y.left) >= 3 * (x.n + y.n) and 7 * {_APART} <= x.n + y.n"
 #: Texts of a task whose copies leave their signature and body out.
 REMEMBERED = 1_000_000
 
@@ -229,8 +235,14 @@ def confirmed(pairs: DataFrame, seen: DataFrame, least_agreement: float = 0.5) -
     return found
 
 
-def _sharing(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components and fitting lengths that share a shingle; columns h, part, row, n.
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """PARITY words, each bit the parity of the shingles that fall on it; two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((shingles % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _met(left: DataFrame, right: DataFrame, order: str) -> DataFrame:
+    """Lists of rows of different components that share a shingle; columns h, part, row, n, left, bits.
 
     A component's rows of one shingle are one list in at most 64 pieces, so its rows never meet each other.
     """
@@ -238,16 +250,28 @@ def _sharing(left: DataFrame, right: DataFrame) -> DataFrame:
     def lists(postings: DataFrame, side: str) -> DataFrame:
         piece = F.pmod(F.xxhash64("row"), F.lit(64))
         listed = postings.groupBy("h", F.col("part").alias(f"{side}_part"), piece.alias("piece"))
-        return listed.agg(F.collect_list(F.struct("row", "n")).alias(f"{side}_rows")).drop("piece")
+        return listed.agg(F.collect_list(F.struct("row", "n", "left", *_BITS)).alias(f"{side}_rows")).drop("piece")
+
+    return lists(left, "x").join(lists(right, "y"), "h").where(f"x_part {order} y_part")
+
 
-    met = lists(left, "x").join(lists(right, "y"), "h").where("x_part <> y_part")
-    met = met.select(F.explode("x_rows").alias("x"), "y_rows").select("x", F.explode("y_rows").alias("y"))
-    met = met.where("4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)")
+def _sharing(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the lists in ``met`` that may be links; the others are passed over before they are rows."""
+    met = met.select(F.explode("x_rows").alias("x"), "y_rows")
+    met = met.select("x", F.explode(F.expr(f"filter(y_rows, y -> {_MAY_LINK})")).alias("y"))
     return met.selectExpr("least(x.row, y.row) AS a", "greatest(x.row, y.row) AS b").distinct()
 
 
-def crowd_pairs(seen: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that, once confirmed, join all components that a link between two rows of ``crowd`` would join.
+def _nearest(met: DataFrame) -> DataFrame:
+    """Of each two components in ``met`` the pair (a, b) that is most likely a link."""
+    near = f"struct({_APART} / (x.n + y.n) AS apart, least(x.row, y.row) AS a, greatest(x.row, y.row) AS b)"
+    least = F.expr(f"array_min(flatten(transform(x_rows, x -> transform(filter(y_rows, y -> {_MAY_LINK}), y -> {near}))))")
+    best = met.select(F.least("x_part", "y_part").alias("p"), F.greatest("x_part", "y_part").alias("q"), least.alias("best"))
+    return best.where("best is not null").groupBy("p", "q").agg(F.min("best").alias("best")).select("best.a", "best.b").distinct()
+
+
+def crowd_sets(seen: DataFrame, crowd: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``crowd`` with the rare shingles to meet others by, and the units that consist of dense ones; both stored.
 
     A link needs three quarters of each set in common, all of it in shingles that occur in more than one component.
     In one order of these, rare ones first, both sets have the first common shingle in what may be missing plus one, so
@@ -264,37 +288,82 @@ def crowd_pairs(seen: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFram
 
         shingled, open_ = Shingles(), zstandard.ZstdDecompressor()
         for batch in batches:
-            found = [shingled(open_.decompress(body).decode("utf-8", "surrogatepass").split(" ")).view(np.int64) for body in batch["body"]]
-            yield batch[["row", "n", "part"]].assign(found=found)
-
-    sets = stored(rows.mapInPandas(opened, "row long, n long, part long, found array<long>"), "crowd")
-    postings = sets.select("row", "n", "part", F.explode("found").alias("h"))
+            found = [shingled(open_.decompress(body).decode("utf-8", "surrogatepass").split(" ")) for body in batch["body"]]
+            bits = np.array([_parity(x) for x in found]).reshape(len(batch), PARITY)
+            made = batch[["row", "n", "part"]].assign(found=[x.view(np.int64) for x in found])
+            yield made.assign(**{name: bits[:, k] for k, name in enumerate(_BITS)})
+
+    words = ", ".join(f"{name} long" for name in _BITS)
+    sets = stored(rows.mapInPandas(opened, f"row long, n long, part long, found array<long>, {words}"), "crowd")
+    postings = sets.select("row", "part", F.explode("found").alias("h"))
     spread = postings.select("h", "part").distinct().groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = postings.join(spread, "h").groupBy("row", "n", "part").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("found"))
+    ordered = postings.join(spread, "h").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("found"))
+    ordered = ordered.join(sets.drop("found"), "row").where("4 * size(found) >= 3 * n")
+    prefix = "slice(found, 1, int(size(found) - ceil(3 * n / 4) + 1))"
     ordered = stored(
-        ordered.where("4 * size(found) >= 3 * n").selectExpr(
+        ordered.selectExpr(
             "row",
             "n",
             "part",
-            f"transform(filter(slice(found, 1, int(size(found) - ceil(3 * n / 4) + 1)), x -> x.df <= {DENSE}), x -> x.h) AS rare",
+            f"filter(transform({prefix}, (x, i) -> struct(x.df, x.h, size(found) - i AS left)), x -> x.df <= {DENSE}) AS rare",
             f"transform(filter(found, x -> x.df > {DENSE}), x -> x.h) AS dense",
+            *_BITS,
         ),
         "ordered",
     )
-    rare = ordered.select("row", "n", "part", F.explode("rare").alias("h"))
     units = ordered.where("size(dense) > 0 and 4 * size(dense) >= 3 * n").withColumn("cls", F.md5(F.concat_ws(",", F.col("dense").cast("array<string>"))))
-    units = stored(units.groupBy("cls", "part").agg(F.min(F.struct("n", "row", "dense")).alias("u")).select("cls", "part", "u.*"), "units")
+    units = stored(units.groupBy("cls", "part").agg(F.min(F.struct("n", "row", "dense", *_BITS)).alias("u")).select("cls", "part", "u.*"), "units")
+    free(sets)
+    return ordered.drop("dense"), units
+
+
+def _meetings(ordered: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lists of rows that share a rare shingle, and of units that share a dense one with a head."""
+    rare = ordered.select("row", "n", "part", *_BITS, F.explode("rare").alias("x")).select("row", "n", "part", *_BITS, "x.h", "x.left")
+    first = F.expr("posexplode(slice(dense, 1, int(size(dense) - ceil(3 * n / 4) + 1)))").alias("i", "h")
+    sides = [side.select("row", "n", "part", *_BITS, F.size("dense").alias("all"), first).withColumn("left", F.expr("all - i")) for side in (units, _heads(units))]
+    return _met(rare, rare, "<"), _met(*sides, "<>")
+
+
+def _heads(units: DataFrame) -> DataFrame:
     full = units.where("7 * size(dense) >= 6 * n")
-    heads = full.groupBy("cls").agg(F.min(F.struct("n", "row", "part", "dense")).alias("u")).select("cls", "u.*")
-    salted = heads.select("cls", F.col("row").alias("head"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
-    chained = full.withColumn("salt", F.pmod("row", F.lit(16)).cast("int")).join(salted, ["cls", "salt"]).where("row <> head")
-    first = F.expr("explode(slice(dense, 1, int(size(dense) - ceil(3 * n / 4) + 1)))").alias("h")
-    return (
-        _sharing(rare, rare)
-        .union(_sharing(units.select("row", "n", "part", first), heads.select("row", "n", "part", first)))
-        .union(chained.selectExpr("least(row, head)", "greatest(row, head)"))
-        .distinct()
-    )
+    return full.groupBy("cls").agg(F.min(F.struct("n", "row", "part", "dense", *_BITS)).alias("u")).select("cls", "u.*")
+
+
+def _chained(units: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the rows with the same dense shingles and the smallest set of them."""
+    salted = _heads(units).select("cls", F.col("row").alias("head"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    full = units.where("7 * size(dense) >= 6 * n").withColumn("salt", F.pmod("row", F.lit(16)).cast("int"))
+    return full.join(salted, ["cls", "salt"]).where("row <> head").selectExpr("least(row, head) AS a", "greatest(row, head) AS b")
+
+
+def crowd_pairs(seen: DataFrame, crowd: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs (a, b) that, once confirmed, join all components that a link between two rows of ``crowd`` would join."""
+    ordered, units = crowd_sets(seen, crowd, parts)
+    rare, dense = _meetings(ordered, units)
+    return _sharing(rare).union(_sharing(dense)).union(_chained(units)).distinct()
+
+
+def crowd_links(seen: DataFrame, crowd: DataFrame, parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``links`` (stored) and of all links between rows of ``crowd``.
+
+    Two components are joined by one link, so the nearest pair of each two is confirmed first; all pairs that may be links
+    are made only between the components that are still apart then.
+    """
+    ordered, units = crowd_sets(seen, crowd, parts)
+    rare, dense = _meetings(ordered, units)
+    near = stored(_nearest(rare).union(_nearest(dense)).union(_chained(units)).distinct(), "nearest")
+    links = stored(links.union(confirmed(near, seen)), "links")
+    parts = stored(components(links.toDF("u", "v")), "components")
+    own = parts.select(F.col("node").alias("row"), "component_id")
+
+    def joined(rows: DataFrame) -> DataFrame:
+        return rows.join(own, "row", "left").withColumn("part", F.coalesce("component_id", "part")).drop("component_id")
+
+    rare, dense = _meetings(joined(ordered), joined(units))
+    apart = _sharing(rare).union(_sharing(dense)).distinct().join(near, ["a", "b"], "left_anti")
+    beyond = confirmed(stored(apart, "apart"), seen)
+    return parts if beyond.isEmpty() else stored(components(links.union(beyond).toDF("u", "v")), "components")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -319,9 +388,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crossing = ends.where("coalesce(a_part, a) <> coalesce(b_part, b)").select("a", "b").join(best, ["a", "b"], "left_anti")
     links = stored(links.union(confirmed(crossing, seen)), "links")
     parts = stored(components(links.toDF("u", "v")), "components")
-    beyond = confirmed(crowd_pairs(seen, crowd, parts), seen)
-    if not beyond.isEmpty():
-        parts = stored(components(links.union(beyond).toDF("u", "v")), "components")
+    parts = crowd_links(seen, crowd, parts, links)
     # classes and their nodes, then the least id of each component
     light = seen.where("n_shingles > 0").select("cls", "doc_id", F.when(F.col("body").isNotNull(), F.col("row")).alias("row"))
     classes = light.groupBy("cls").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))

@@ -292,6 +292,22 @@ def test_crowd_pairs_of_texts_that_are_dense_passages(spark):
     assert [got.get(k, k) for k in range(len(texts))] == least
 
 
+def test_rows_of_a_crowd_that_cannot_link_are_not_paired(spark):
+    passage, shared = prose(120, 1), [prose(20, 50 + k) for k in range(10)]
+    texts = [" ".join([passage, shared[k % 10], prose(30, 100 + k)]) for k in range(200)]
+    texts += [texts[7] + " " + prose(12, 900 + k) for k in range(10)]  # copies of one of them
+    pairs, least = brute_components(texts)
+    seen = minhash_forest.stored(docs_of(spark, texts).select("doc_id", "text").mapInArrow(minhash_forest._sketch, minhash_forest._SEEN), "seen")
+    own = {r.row: r.doc_id for r in seen.select("row", "doc_id").collect()}
+    made = minhash_forest.crowd_pairs(seen, seen.select("row"), spark.createDataFrame([], "node long, component_id long")).collect()
+    assert set(pairs) <= {tuple(sorted((own[a], own[b]))) for a, b in made}
+    assert len(made) < len(pairs) + 200  # 2,000 share a shingle of a section
+    links = minhash_forest.stored(spark.createDataFrame([], "a long, b long"), "links")
+    parts = minhash_forest.crowd_links(seen, seen.select("row"), minhash_forest.components(links.toDF("u", "v")), links)
+    got = {own[r.node]: own[r.component_id] for r in parts.collect()}
+    assert [got.get(k, k) for k in range(len(texts))] == least
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (5, 5)], "u long, v long")
     got = {r.node: r.component_id for r in components.components(edges).collect()}
