@@ -280,8 +280,9 @@ def crowd_sets(seen: DataFrame, crowd: DataFrame, parts: DataFrame) -> tuple[Dat
     smallest set of them, and that one stands for them against all others by the same order.
     """
     own = parts.select(F.col("node").alias("row"), "component_id")
-    rows = seen.where("body is not null").select("row", "n_shingles", "body").join(crowd, "row", "left_semi").join(own, "row", "left")
-    rows = rows.selectExpr("row", "n_shingles AS n", "coalesce(component_id, row) AS part", "body")
+    wanted = crowd.distinct().join(own, "row", "left").selectExpr("row", "coalesce(component_id, row) AS part")
+    # stored, so that its size is known: while it is small, the bodies of all other rows are not shuffled
+    rows = seen.where("body is not null").selectExpr("row", "n_shingles AS n", "body").join(stored(wanted, "wanted"), "row")
 
     def opened(batches):
         import zstandard
